@@ -1,0 +1 @@
+"""Test inputs, registered queries and the SQL they are compared with."""

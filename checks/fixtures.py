@@ -1,0 +1,141 @@
+"""Captured pages derived from the customer table.
+
+No given table holds place pages, so these make one page per customer. The SQL is
+plain enough for Spark and DuckDB to run the very same text; ``{customer}`` and
+``{nation}`` name the tables. See FIXTURES.md for what each part is there to try.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from placeleads.constants import CATEGORIES
+
+# A second run over other, partly equal places: ids 0, 1, 3, 4, 6, 7, ...
+SECOND_RUN_ID = "cast(floor(c_custkey * 3 / 2) as bigint)"
+
+_CATEGORY = " ".join(
+    ["case n % 20"] + [f"when {i} then '{c}'" for i, c in enumerate(CATEGORIES)] + ["end"]
+)
+
+
+def _k(n: str) -> str:
+    return f"cast(floor({n} / 3) as bigint)"
+
+
+def _url(n: str) -> str:
+    k = _k(n)
+    path = f"concat('/maps/place/Place+', {k}, '%C3%B3/@', {n})"
+    return (
+        f"case when {n} % 13 = 12 then concat('/maps/search/', {n}) "
+        f"when {n} % 9 = 8 then concat('/maps/place/bad%ZZ', {k}) "
+        f"when {n} % 9 = 7 then concat('https://maps.example.org', {path}) "
+        f"else {path} end"
+    )
+
+
+def _base(id_expr: str) -> str:
+    return (
+        f"(select {id_expr} as n, {_k(id_expr)} as k, c_mktsegment as seg, n_name as nat "
+        "from {customer} join {nation} on c_nationkey = n_nationkey)"
+    )
+
+
+_NAME = "case when n % 11 = 10 then '' when n % 2 = 0 then concat('Place ', k) else concat('PLACE ', k) end"
+_ADDRESS = (
+    "case when n % 8 = 7 then '' "
+    "when n % 8 = 6 then concat('Calle ', n) else concat('Calle ', n, ', ', seg, ', ', nat) end"
+)
+_CITY = "case when n % 8 >= 6 then '' else seg end"
+
+
+def place_pages_sql(id_expr: str = "c_custkey") -> str:
+    """page_id, location, query_seq, search_query, url, html."""
+    address = (
+        "case when n % 8 = 7 then '' else concat('<div class=\"row\"><div>"
+        f"<button data-item-id=\"address\">', {_ADDRESS}, '</button></div></div>') end"
+    )
+    phone = (
+        "case n % 4 when 0 then concat('<button data-item-id=\"phone:tel\">+34 912 345 ', "
+        "lpad(concat('', n % 1000), 3, '0'), '</button>') "
+        "when 1 then concat('<span data-tooltip=\"Copy phone number\">(555) 123-', "
+        "lpad(concat('', n % 10000), 4, '0'), '</span>') "
+        "when 2 then concat('<p>call 912 345 ', lpad(concat('', n % 1000), 3, '0'), '</p>') else '' end"
+    )
+    website = (
+        "case n % 5 when 0 then '<a data-item-id=\"authority\" href=\"https://w.test\">Website</a>' "
+        "when 1 then '<span data-tooltip=\"Open website\"></span>' else '' end"
+    )
+    closed = (
+        "case n % 7 when 0 then '<span>Permanently CLOSED</span>' "
+        "when 1 then '<span>Cerrado temporalmente</span>' else '' end"
+    )
+    email = (
+        "case n % 6 when 0 then concat('<p>info', n, '@gmail.com </p>') "
+        "when 1 then concat('<p>x', n, '@example.com </p>') else '' end"
+    )
+    return (
+        "select n as page_id, nat as location, cast(n % 20 as int) as query_seq, "
+        f"concat({_CATEGORY}, ' in ', nat) as search_query, {_url('n')} as url, "
+        "concat('<html><body><script>var t=\"</p>\";</script><div role=\"main\"><h1> ', "
+        f"{_NAME}, ' </h1>', {address}, {phone}, {website}, {closed}, {email}, "
+        f"'</div></body></html>') as html from {_base(id_expr)} as base"
+    )
+
+
+def lookup_pages_sql() -> str:
+    """lookup_id, lookup_query, html: a page for every other customer's lookup query,
+    for the rest a page that belongs to no place."""
+    return (
+        "select n as lookup_id, "
+        f"case when n % 2 = 0 then concat({_NAME}, ' ', {_CITY}, ' email') "
+        "else concat('Unlisted ', n, ' email') end as lookup_query, "
+        "concat('<html><body><script>var m=\"s@gmail.com\";</script>', case "
+        "when n % 4 = 0 then concat('<p>biz', n, '@shop.test</p><div>x</div>"
+        "<a href=\"mailto:owner', n, '@gmail.com\">m</a>') "
+        "when n % 4 = 2 then concat('<p>sales', n, '@facebook.com</p><p>biz', n, '@shop.test</p>') "
+        "else '<p>no contact listed</p>' end, '</body></html>') as html "
+        f"from {_base('c_custkey')} as base"
+    )
+
+
+def result_pages_sql() -> str:
+    """page_id, search_query, html: one captured piece of a result list per customer,
+    with a link to its place, once more the same, one to another place and one to
+    something else."""
+    variant = (
+        "case n % 3 when 0 then nat when 1 then concat('North ', nat) "
+        "else concat(nat, ' downtown') end"
+    )
+    half = "cast(floor(n / 2) as bigint)"
+    return (
+        f"select n as page_id, concat({_CATEGORY}, ' in ', {variant}) as search_query, "
+        f"concat('<html><body><div role=\"feed\"><a href=\"', {_url('n')}, '\">a</a><a href=\"', "
+        f"{_url('n')}, '\">b</a><a class=\"x\" href=\"', {_url(half)}, '\">c</a>"
+        "<a href=\"/about\">d</a></div></body></html>') as html "
+        f"from {_base('c_custkey')} as base"
+    )
+
+
+def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    return spark.sql(
+        sql,
+        customer=spark.read.parquet(f"{sf_dir}/customer.parquet"),
+        nation=spark.read.parquet(f"{sf_dir}/nation.parquet"),
+    )
+
+
+def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, place_pages_sql())
+
+
+def second_run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, place_pages_sql(SECOND_RUN_ID))
+
+
+def lookup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, lookup_pages_sql())
+
+
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, result_pages_sql())

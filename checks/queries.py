@@ -1,0 +1,473 @@
+"""One query per operator, each a function of a session and a data folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import fixtures
+from placeleads.constants import SELECTORS
+from placeleads.functions import contact, html, url
+from placeleads.operators import dedup, enrich, extract, merge, report
+from placeleads.plans import leads as pipelines
+from placeleads.plans import search
+from placeleads.sources import pages as page_source
+from placeleads.sources import results
+from placeleads.sources.workdir import new_work_dir
+from placeleads.streaming import leads as streaming
+
+# Parameters where a default would leave nothing to compare on the given tables.
+LINK_MARK = "/"
+DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
+STREAM_SLICES = 4
+
+LANGUAGE = "^[a-z]+://[^/]+/([a-z]+)/"
+DOMAIN_END = r"^[a-z]+://[^/]*\.([a-z]+)/"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_source.read_pages(spark, f"{sf_dir}/pages.parquet")
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Emails as one text, which compares the same in every engine."""
+    if "emails" not in df.columns:
+        return df
+    return df.withColumn("emails", F.array_join("emails", " "))
+
+
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
+    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select("n_nationkey", F.concat("n_name", F.lit(", "), "r_name").alias("location"))
+
+
+def _markup(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("markup", html.page_markup(F.col("html"))).drop("html")
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.place_records(extract.readable_pages(fixtures.place_pages(spark, sf_dir)))
+
+
+def _second_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = fixtures.second_run_pages(spark, sf_dir)
+    return extract.place_records(extract.readable_pages(pages))
+
+
+# Scans, sources, sinks
+
+
+def page_scan(spark, sf_dir):
+    return _pages(spark, sf_dir).select("page_id", "url", F.md5("html").alias("html_md5"))
+
+
+def search_result_scan(spark, sf_dir):
+    plan = _nation_plan(spark, sf_dir)
+    return pipelines.searched_links(fixtures.result_pages(spark, sf_dir), plan)
+
+
+def results_sink(spark, sf_dir):
+    path = new_work_dir(spark, "results-sink")
+    results.write_places(_leads_of_places(spark, sf_dir).select(*_PLACE_COLUMNS), path)
+    return _flat(results.read_places(spark, path))
+
+
+def results_scan(spark, sf_dir):
+    """Writes JSON lines under the document names and reads them back."""
+    path = new_work_dir(spark, "results-scan")
+    results.write_places(_leads_of_places(spark, sf_dir).select(*_PLACE_COLUMNS), path, "json")
+    return _flat(results.read_places(spark, path, "json"))
+
+
+def results_store(spark, sf_dir):
+    """Two runs appended to one store, the second one without known places."""
+    store = new_work_dir(spark, "results-store")
+    for run_id, places in enumerate((_places(spark, sf_dir), _second_places(spark, sf_dir))):
+        results.append_run(spark, places, store, run_id, "food & drink", "all")
+    return _flat(results.read_store(spark, store))
+
+
+def results_envelope(spark, sf_dir):
+    leads = _leads_of_places(spark, sf_dir)
+    return report.results_envelope(leads, "food & drink", "all").drop("scraped_at")
+
+
+_PLACE_COLUMNS = ("name", "address", "phone", "emails", "has_website", "place_id", "is_active")
+
+
+def _run_stream(spark: SparkSession, pages: DataFrame, purpose: str, **options) -> str:
+    """Lets slices of the pages arrive in the order of ``page_id``; each time the stream
+    starts again from its checkpoint and takes what is new as one batch."""
+    files, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
+    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
+    step = (high - low) // STREAM_SLICES + 1
+    for start in range(low, high + 1, step):
+        arrived = pages.where(F.col("page_id").between(start, start + step - 1))
+        arrived.select("page_id", "url", "html").write.mode("append").parquet(files)
+        stream = page_source.stream_pages(spark, files)
+        query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint", **options)
+        query.awaitTermination()
+    return store
+
+
+def stream_leads(spark, sf_dir):
+    store = _run_stream(spark, fixtures.place_pages(spark, sf_dir), "stream-leads")
+    return _flat(streaming.read_stream_leads(spark, store).select("page_id", *_PLACE_COLUMNS))
+
+
+def stream_dedup(spark, sf_dir):
+    store = _run_stream(spark, _pages(spark, sf_dir), "stream-dedup")
+    return streaming.read_sightings(spark, store).select("page_id", "name", "name_key")
+
+
+def stream_append(spark, sf_dir):
+    emails = enrich.lookup_emails(fixtures.lookup_pages(spark, sf_dir))
+    pages = fixtures.place_pages(spark, sf_dir)
+    store = _run_stream(spark, pages, "stream-append", emails=emails)
+    return report.contact_summary(streaming.read_stream_leads(spark, store))
+
+
+# Search plans
+
+
+def category_dim(spark, sf_dir):
+    return search.category_dimension(_table(spark, sf_dir, "nation").select("n_nationkey"))
+
+
+def location_parse(spark, sf_dir):
+    location = F.col("location")
+    return _locations(spark, sf_dir).select(
+        "n_nationkey",
+        search.location_area(location).alias("area"),
+        search.location_country(location).alias("country"),
+    )
+
+
+def subdivide_location(spark, sf_dir):
+    variants = search.sub_locations(F.col("location"))
+    return _locations(spark, sf_dir).select(
+        "n_nationkey", F.posexplode(variants).alias("seq", "place")
+    )
+
+
+def zone_searches(spark, sf_dir):
+    variants = search.zone_locations(F.col("location"))
+    return _locations(spark, sf_dir).select(
+        "n_nationkey", F.posexplode(variants).alias("seq", "place")
+    )
+
+
+def search_plan(spark, sf_dir):
+    return search.search_plan(_locations(spark, sf_dir))
+
+
+def search_plan_zones(spark, sf_dir):
+    return search.search_plan(_locations(spark, sf_dir), include_zones=True)
+
+
+def plan_preview(spark, sf_dir):
+    return search.plan_preview(_locations(spark, sf_dir))
+
+
+def search_text(spark, sf_dir):
+    part, nation = _table(spark, sf_dir, "part"), _table(spark, sf_dir, "nation")
+    blank = F.when(F.col("p_partkey") % 3 == 0, "  ").otherwise(F.col("p_type"))
+    joined = part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey"))
+    return joined.select("p_partkey", search.search_text(blank, F.col("n_name")).alias("search_query"))
+
+
+def _nation_plan(spark, sf_dir):
+    nation = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("location"))
+    return search.search_plan(nation)
+
+
+# Extraction
+
+
+def text_content(spark, sf_dir):
+    return _markup(_pages(spark, sf_dir)).select(
+        "page_id", html.text_content(F.col("markup")).alias("text")
+    )
+
+
+def element_pick(spark, sf_dir):
+    markup = F.col("markup")
+    return _markup(fixtures.place_pages(spark, sf_dir)).select(
+        "page_id",
+        html.element_text(markup, SELECTORS["phone"]).alias("phone_element"),
+        html.element_text(markup, SELECTORS["address"]).alias("address_element"),
+        html.element_text(markup, SELECTORS["panel"]).alias("panel"),
+    )
+
+
+def place_name(spark, sf_dir):
+    name = html.trimmed_element_text(F.col("markup"), SELECTORS["name"])
+    return _markup(_pages(spark, sf_dir)).select("page_id", name.alias("name"))
+
+
+def place_id(spark, sf_dir):
+    return fixtures.place_pages(spark, sf_dir).select(
+        "page_id", url.place_id(F.col("url")).alias("place_id")
+    )
+
+
+def is_active(spark, sf_dir):
+    return _places(spark, sf_dir).select("page_id", "is_active")
+
+
+def is_active_documents(spark, sf_dir):
+    from placeleads.functions.text import contains_any
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    return docs.select("doc_id", (~contains_any(F.col("text"), DOCUMENT_PHRASES)).alias("is_active"))
+
+
+def extract_phone(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select(
+        "doc_id", contact.extract_phone(F.col("text")).alias("phone")
+    )
+
+
+def extract_phone_pages(spark, sf_dir):
+    text = _markup(_pages(spark, sf_dir)).select(
+        "page_id", html.text_content(F.col("markup")).alias("text")
+    )
+    return text.select("page_id", contact.extract_phone(F.col("text")).alias("phone"))
+
+
+def place_phone(spark, sf_dir):
+    return _places(spark, sf_dir).select("page_id", "phone")
+
+
+def place_address(spark, sf_dir):
+    return _places(spark, sf_dir).select("page_id", "address")
+
+
+def has_website(spark, sf_dir):
+    return _places(spark, sf_dir).select("page_id", "has_website")
+
+
+def extract_emails(spark, sf_dir):
+    found = contact.extract_emails(F.col("text"), blocked=("mail1.",))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("email"))
+
+
+def extract_emails_default(spark, sf_dir):
+    """The default block list on documents, as a count of what is left per document."""
+    found = contact.extract_emails(F.col("text"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("emails_left"))
+
+
+def page_links(spark, sf_dir):
+    return extract.links(_pages(spark, sf_dir), LINK_MARK)
+
+
+def absolute_url(spark, sf_dir):
+    found = extract.links(_pages(spark, sf_dir), LINK_MARK)
+    return found.select("page_id", "link_pos", url.absolute_url(F.col("href")).alias("url"))
+
+
+def place_record(spark, sf_dir):
+    return _flat(_places(spark, sf_dir))
+
+
+def address_city(spark, sf_dir):
+    return _places(spark, sf_dir).select(
+        "page_id", contact.address_city(F.col("address")).alias("city")
+    )
+
+
+def lookup_query(spark, sf_dir):
+    query = contact.lookup_query(F.col("name"), F.col("address"))
+    return _places(spark, sf_dir).select("page_id", query.alias("lookup_query"))
+
+
+def url_component(spark, sf_dir):
+    names = place_name(spark, sf_dir)
+    return names.select("page_id", url.url_component(F.col("name")).alias("component"))
+
+
+def lookup_text(spark, sf_dir):
+    return fixtures.lookup_pages(spark, sf_dir).select(
+        "lookup_id", html.lookup_text(F.col("html")).alias("text")
+    )
+
+
+def lookup_candidates(spark, sf_dir):
+    found = contact.lookup_candidates(F.col("text"))
+    return lookup_text(spark, sf_dir).select(
+        "lookup_id", F.posexplode(found).alias("pos", "email")
+    )
+
+
+def preferred_email(spark, sf_dir):
+    found = contact.preferred_email(contact.lookup_candidates(F.col("text")))
+    return lookup_text(spark, sf_dir).select("lookup_id", found.alias("email"))
+
+
+# Filters, dedup, joins
+
+
+def lead_filter(spark, sf_dir):
+    return _flat(dedup.leads_only(_places(spark, sf_dir)))
+
+
+def dedup_name(spark, sf_dir):
+    return dedup.dedup_by_name(place_name(spark, sf_dir), ["page_id"])
+
+
+def dedup_key(spark, sf_dir):
+    places = dedup.dedup_by_place(_places(spark, sf_dir), ["page_id"])
+    return places.select("page_id", "place_key", "name")
+
+
+def email_enrich(spark, sf_dir):
+    leads = _leads_of_places(spark, sf_dir)
+    emails = enrich.lookup_emails(fixtures.lookup_pages(spark, sf_dir))
+    return _flat(enrich.enrich_emails(leads, emails)).select("page_id", "name", "emails")
+
+
+def merge_anti_id(spark, sf_dir):
+    kept = merge.new_by_id(_second_places(spark, sf_dir), _places(spark, sf_dir))
+    return kept.select("page_id", "place_id", "name")
+
+
+def merge_anti_name(spark, sf_dir):
+    kept = merge.new_by_name(_second_places(spark, sf_dir), _places(spark, sf_dir))
+    return kept.select("page_id", "place_id", "name")
+
+
+def merge_results(spark, sf_dir):
+    existing = _places(spark, sf_dir).withColumn("side", F.lit("existing"))
+    new = _second_places(spark, sf_dir).withColumn("side", F.lit("new"))
+    return _flat(merge.merge_results(existing, new))
+
+
+def quarantine(spark, sf_dir):
+    return extract.quarantine(fixtures.place_pages(spark, sf_dir)).select("page_id", "url", "reason")
+
+
+# Reports
+
+
+def _leads_of_places(spark, sf_dir):
+    return pipelines.find_leads(fixtures.place_pages(spark, sf_dir))
+
+
+def contact_summary(spark, sf_dir):
+    return report.contact_summary(_leads_of_places(spark, sf_dir))
+
+
+def links_per_query(spark, sf_dir):
+    """Distinct links per page and per language of the site."""
+    pages = _pages(spark, sf_dir).withColumn("lang", F.regexp_extract("url", LANGUAGE, 1))
+    return report.links_per_query(extract.links(pages, LINK_MARK), ["lang"])
+
+
+def running_unique(spark, sf_dir):
+    places = _places(spark, sf_dir).withColumn(
+        "place_key", dedup.place_key(F.col("place_id"), F.col("name"))
+    )
+    return report.running_unique(places, "place_key", "query_seq", ["location"])
+
+
+def running_unique_pages(spark, sf_dir):
+    pages = _pages(spark, sf_dir).select(
+        F.regexp_extract("url", DOMAIN_END, 1).alias("site"),
+        F.regexp_extract("url", LANGUAGE, 1).alias("lang"),
+        html.page_markup(F.col("html")).alias("markup"),
+    )
+    name = html.trimmed_element_text(F.col("markup"), SELECTORS["name"])
+    named = pages.select("site", "lang", F.lower(name).alias("name_key"))
+    return report.running_unique(named, "name_key", "lang", ["site"])
+
+
+def progress_counts(spark, sf_dir):
+    pages = fixtures.place_pages(spark, sf_dir)
+    return report.progress_counts(pages, pipelines.find_leads(pages), ["query_seq"])
+
+
+# Pipelines
+
+
+def leads(spark, sf_dir):
+    found = pipelines.find_leads(
+        fixtures.place_pages(spark, sf_dir), fixtures.lookup_pages(spark, sf_dir)
+    )
+    return _flat(found)
+
+
+def subdivided_leads(spark, sf_dir):
+    found = pipelines.find_leads_by_plan(
+        _nation_plan(spark, sf_dir),
+        fixtures.result_pages(spark, sf_dir),
+        fixtures.place_pages(spark, sf_dir).select("page_id", "url", "html"),
+        fixtures.lookup_pages(spark, sf_dir),
+    )
+    return _flat(found)
+
+
+ALL = {
+    f.__name__: f
+    for f in (
+        page_scan,
+        search_result_scan,
+        results_sink,
+        results_scan,
+        results_store,
+        results_envelope,
+        stream_leads,
+        stream_dedup,
+        stream_append,
+        category_dim,
+        location_parse,
+        subdivide_location,
+        zone_searches,
+        search_plan,
+        search_plan_zones,
+        plan_preview,
+        search_text,
+        text_content,
+        element_pick,
+        place_name,
+        place_id,
+        is_active,
+        is_active_documents,
+        extract_phone,
+        extract_phone_pages,
+        place_phone,
+        place_address,
+        has_website,
+        extract_emails,
+        extract_emails_default,
+        page_links,
+        absolute_url,
+        place_record,
+        address_city,
+        lookup_query,
+        url_component,
+        lookup_text,
+        lookup_candidates,
+        preferred_email,
+        lead_filter,
+        dedup_name,
+        dedup_key,
+        email_enrich,
+        merge_anti_id,
+        merge_anti_name,
+        merge_results,
+        quarantine,
+        contact_summary,
+        links_per_query,
+        running_unique,
+        running_unique_pages,
+        progress_counts,
+        leads,
+        subdivided_leads,
+    )
+}
