@@ -293,9 +293,8 @@ def url_component(spark, sf_dir):
 
 
 def lookup_text(spark, sf_dir):
-    return fixtures.lookup_pages(spark, sf_dir).select(
-        "lookup_id", html.lookup_text(F.col("html")).alias("text")
-    )
+    texts = enrich.lookup_texts(fixtures.lookup_pages(spark, sf_dir))
+    return texts.select("lookup_id", F.col("_text").alias("text"))
 
 
 def lookup_candidates(spark, sf_dir):

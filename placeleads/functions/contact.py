@@ -15,7 +15,7 @@ from placeleads.constants import (
     PHONE_PATTERNS,
     PREFERRED_DOMAIN,
 )
-from placeleads.functions.text import contains_any, empty_to_null, web_space, web_trim
+from placeleads.functions.text import bind, contains_any, if_not_empty, web_space, web_trim
 
 _ENOUGH_DIGITS = rf"(?s)^(?:\D*+\d){{{MIN_PHONE_DIGITS}}}.*+\z"
 
@@ -29,11 +29,12 @@ _EMAIL = (
 
 def extract_phone(text: Column, patterns: tuple[str, ...] = PHONE_PATTERNS) -> Column:
     """First match of the first pattern whose first match has enough digits, else null."""
-    tries = []
-    for pattern in patterns:
-        match = F.regexp_extract(text, web_space(pattern), 0)
-        tries.append(empty_to_null(F.regexp_extract(match, _ENOUGH_DIGITS, 0)))
-    return F.coalesce(*tries)
+
+    def try_all(bound: Column) -> Column:
+        matches = (F.regexp_extract(bound, web_space(p), 0) for p in patterns)
+        return F.coalesce(*(if_not_empty(F.regexp_extract(m, _ENOUGH_DIGITS, 0)) for m in matches))
+
+    return bind(text, try_all)
 
 
 def email_matches(text: Column) -> Column:

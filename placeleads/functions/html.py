@@ -15,33 +15,35 @@ from __future__ import annotations
 
 import html.entities
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeleads.constants import PLACE_LINK_MARK, Selector
-from placeleads.functions.text import empty_to_null, web_trim
+from placeleads.functions.text import bind, contains_any, if_not_empty, web_trim
 
 # Elements whose content a browser takes as raw text.
-_RAW = "(?:script|style|noscript|iframe|noembed|noframes|xmp)"
+_RAW = "(?i:script|style|noscript|iframe|noembed|noframes|xmp)"
 # Elements that start a new line when a page is shown.
 _BLOCK = (
-    "(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer"
+    "(?i:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer"
     "|form|h[1-6]|header|hr|li|main|nav|ol|option|p|pre|section|table|td|th|tr|ul)"
 )
 # Elements without content.
-_VOID = "(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)"
+_VOID = "(?i:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)"
 
 _NAME_END = r"(?=[\s/>])"
 _QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
 _ATTRS = rf"(?:[^>=]++|=\s*+{_QUOTED}?+)*+"
 _TAG_END = r"(?:>|\z)"
-_TAG = rf"(?is)<(?:/?[a-z]{_ATTRS}|[!?/][^>]*+){_TAG_END}"
-_BLOCK_TAG = rf"(?is)</?{_BLOCK}{_NAME_END}{_ATTRS}{_TAG_END}"
+_TAG = rf"<(?:/?[a-zA-Z]{_ATTRS}|[!?/][^>]*+){_TAG_END}"
+_BLOCK_TAG = rf"</?{_BLOCK}{_NAME_END}{_ATTRS}{_TAG_END}"
 
 _COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\z))"
 _RAW_OPEN = rf"<({_RAW}){_NAME_END}{_ATTRS}{_TAG_END}"
-_RAW_ELEMENT = rf"{_RAW_OPEN}(.*?)(?:</\1{_NAME_END}{_ATTRS}{_TAG_END}|\z)"
+_RAW_ELEMENT = rf"{_RAW_OPEN}(.*?)(?:</(?i:\1){_NAME_END}{_ATTRS}{_TAG_END}|\z)"
 
 # The body starts after its tag, or failing that after the head, or after the title.
 _BEFORE_BODY = (
@@ -55,62 +57,60 @@ _TO_MASKS = str.maketrans(_MARKUP_CHARS, _MASKS)
 
 # Names that work without a closing semicolon, as the HTML standard lists them.
 _BARE_NAMES = "|".join(sorted(n for n in html.entities.html5 if not n.endswith(";")))
-_REFERENCE_BODY = (
-    r"(?:#[0-9]++;?+|#x[0-9a-f]++;?+|[a-z][a-z0-9]{1,31};"
-    rf"|(?:{_BARE_NAMES})(?![=a-z0-9;]))"
+_REFERENCE = (
+    r"&(?:#[0-9]++;?+|#[xX][0-9a-fA-F]++;?+|[a-zA-Z][a-zA-Z0-9]{1,31};"
+    rf"|(?:{_BARE_NAMES})(?![=a-zA-Z0-9;]))"
 )
 _REFERENCE_NUMBER = r"(?i)^&#x?0*+([0-9a-f]{1,7});?\z"
 _REPLACEMENT_CHAR = "\ufffd"
+# Numbers 128 to 159 mean Windows-1252 characters.
+_C1 = "".join(map(chr, range(128, 160)))
+_WINDOWS = "".join(bytes([ord(c)]).decode("cp1252", errors="ignore") or c for c in _C1)
 
 # One alternative per kind of token; the last two cover everything in between.
 _TOKEN = (
-    rf"(?is){_COMMENT}|{_RAW_ELEMENT}|&{_REFERENCE_BODY}"
-    rf"|(?:[^<&]++|<(?!!--|{_RAW}{_NAME_END})|&(?!{_REFERENCE_BODY}))++|."
+    rf"(?s){_COMMENT}|{_RAW_ELEMENT}|{_REFERENCE}"
+    rf"|(?:[^<&]++|<(?!!--|{_RAW}{_NAME_END}))++|."
 )
 
 
-def _reference_chars() -> dict[str, str]:
+def _named_chars() -> dict[str, str]:
     """Character of every reference with a name, the frequent names first."""
     first = ["amp;", "nbsp;", "quot;", "lt;", "gt;", "apos;"]
     first += [f"{n};" for n in html.entities.name2codepoint]
-    names = dict.fromkeys(first) | dict.fromkeys(html.entities.html5)
-    chars = {n: html.entities.html5[n].translate(_TO_MASKS) for n in names}
-    # Numbers 128 to 159 mean Windows-1252 characters.
-    for code in range(128, 160):
-        char = bytes([code]).decode("cp1252", errors="ignore")
-        chars[f"#{code}"] = char or chr(code)
-    return chars
+    names = dict.fromkeys(first) | dict.fromkeys(n for n in html.entities.html5 if n[-1] == ";")
+    return {n[:-1]: html.entities.html5[n].translate(_TO_MASKS) for n in names}
 
 
-def _decoded_reference(token: Column) -> Column:
-    chars = F.from_json(F.lit(json.dumps(_reference_chars())), "map<string,string>")
+def _numbered_char(token: Column) -> Column:
     digits = F.regexp_extract(token, _REFERENCE_NUMBER, 1)
-    is_hex = F.rlike(token, F.lit("^&#[xX]"))
-    code = F.expr("try_cast(null as bigint)")
-    code = F.when(digits == "", code).otherwise(
-        F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-    )
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    is_char = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    numbered = (
-        F.when(code.between(128, 159), chars[F.concat(F.lit("#"), code.cast("string"))])
-        .when(is_char, F.translate(char, _MARKUP_CHARS, _MASKS))
-        .otherwise(_REPLACEMENT_CHAR)
-    )
-    named = F.coalesce(chars[F.substring(token, 2, 40)], token)
-    return F.when(F.startswith(token, F.lit("&#")), numbered).otherwise(named)
+    code = F.when(F.rlike(token, F.lit("^&#[xX]")), F.conv(digits, 16, 10)).otherwise(digits)
+
+    def char(number: Column) -> Column:
+        code_point = number.try_cast("bigint")
+        is_char = code_point.between(1, 0xD7FF) | code_point.between(0xE000, 0x10FFFF)
+        decoded = F.decode(F.unhex(F.lpad(F.hex(code_point), 8, "0")), "UTF-32")
+        return F.when(is_char, F.translate(decoded, _C1 + _MARKUP_CHARS, _WINDOWS + _MASKS))
+
+    return F.coalesce(if_not_empty(code, char), F.lit(_REPLACEMENT_CHAR))
+
+
+def _decoded_reference(token: Column) -> Column:
+    chars = F.from_json(F.lit(json.dumps(_named_chars())), "map<string,string>")
+    named = F.coalesce(chars[F.regexp_extract(token, "[a-zA-Z0-9]+", 0)], token)
+    return F.when(F.startswith(token, F.lit("&#")), _numbered_char(token)).otherwise(named)
 
 
 def page_markup(page: Column, raw_text: bool = True) -> Column:
     """Markup of a page; ``raw_text=False`` leaves out the text of script-like elements."""
-    raw_element = rf"(?is)^{_RAW_ELEMENT}"
+    raw_element = rf"(?s)^{_RAW_ELEMENT}"
 
     def render(token: Column) -> Column:
         raw = F.translate(F.regexp_extract(token, raw_element, 2), "<", _MASKS[0])
         return (
-            F.when(F.rlike(token, F.lit(rf"(?i)^&{_REFERENCE_BODY}\z")), _decoded_reference(token))
+            F.when(F.rlike(token, F.lit("^&#?[a-zA-Z0-9]+;?$")), _decoded_reference(token))
             .when(F.startswith(token, F.lit("<!--")), F.lit(""))
-            .when(F.rlike(token, F.lit(rf"(?i)^<{_RAW}{_NAME_END}")), raw if raw_text else F.lit(""))
+            .when(F.rlike(token, F.lit(f"^<{_RAW}{_NAME_END}")), raw if raw_text else F.lit(""))
             .otherwise(token)
         )
 
@@ -119,7 +119,13 @@ def page_markup(page: Column, raw_text: bool = True) -> Column:
 
 
 def unmask(text: Column) -> Column:
-    return F.translate(text, _MASKS, _MARKUP_CHARS)
+    # Looking for the masks is much cheaper than a translation that finds nothing.
+    return bind(
+        text,
+        lambda t: F.when(
+            contains_any(t, _MASKS), F.translate(t, _MASKS, _MARKUP_CHARS)
+        ).otherwise(t),
+    )
 
 
 def strip_tags(markup: Column, glue: str = "") -> Column:
@@ -164,67 +170,74 @@ def _open_tag(selector: Selector) -> str:
     return rf"<({name})(?=[\s/]){_up_to(attribute)}{attribute}{_ATTRS}{_TAG_END}"
 
 
+def _if_mentioned(markup: Column, selector: Selector, use: Column) -> Column:
+    """``use``, unless the attribute value is nowhere in the markup: a search for a
+    literal is much cheaper than one for a pattern."""
+    if selector.value is None:
+        return use
+    return F.when(F.contains(markup, F.lit(selector.value)), use)
+
+
 def has_element(markup: Column, selectors: tuple[Selector, ...]) -> Column:
     """True if any selector finds an element."""
-    found = F.lit(False)
-    for selector in selectors:
-        found = found | F.rlike(markup, F.lit(_open_tag(selector)))
-    return found
-
-
-def _content_by_depth(markup: Column, selector: Selector) -> Column:
-    """Content up to the end tag that balances the opening one, inner tags of the
-    same name left out."""
-    open_tag = _open_tag(selector)
-    name = F.lower(F.regexp_extract(markup, open_tag, 1))
-    rest = F.regexp_extract(markup, rf"(?s){open_tag}(.*+)", 2)
-    same_tag = F.concat(
-        F.lit("(?is)<(/?)"),
-        name,
-        F.lit(rf"{_NAME_END}{_ATTRS}{_TAG_END}|((?:[^<]++|<(?!/?"),
-        name,
-        F.lit(rf"{_NAME_END}))++)"),
-    )
-    slashes = F.regexp_extract_all(rest, same_tag, F.lit(1))
-    texts = F.regexp_extract_all(rest, same_tag, F.lit(2))
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("used"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        change = (
-            F.when(piece["texts"] != "", 0).when(piece["slashes"] == "/", -1).otherwise(1)
+    found = (_if_mentioned(markup, s, F.rlike(markup, F.lit(_open_tag(s)))) for s in selectors)
+    return reduce(or_, (F.coalesce(f, F.lit(False)) for f in found))
+
+
+def _element_by_depth(markup: Column, selector: Selector) -> Column:
+    """Element from its opening tag to the end tag that balances it, without the tags
+    of its own name in between."""
+
+    def cut(rest: Column) -> Column:
+        name = F.lower(F.regexp_extract(rest, "^<([^\\s/>]+)", 1))
+        same_tag = F.concat(
+            F.lit("(?is)<(/?)"),
+            name,
+            F.lit(rf"{_NAME_END}{_ATTRS}{_TAG_END}|((?:[^<]++|<(?!/?"),
+            name,
+            F.lit(rf"{_NAME_END}))++)"),
         )
-        return F.when(acc["depth"] == 0, acc).otherwise(
-            F.struct((acc["depth"] + change).alias("depth"), (acc["used"] + 1).alias("used"))
+        slashes = F.regexp_extract_all(rest, same_tag, F.lit(1))
+        texts = F.regexp_extract_all(rest, same_tag, F.lit(2))
+        pieces = F.arrays_zip(slashes.alias("slashes"), texts.alias("texts"))
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("used"))
+
+        def step(acc: Column, piece: Column) -> Column:
+            change = (
+                F.when(piece["texts"] != "", 0).when(piece["slashes"] == "/", -1).otherwise(1)
+            )
+            return F.when((acc["used"] > 0) & (acc["depth"] == 0), acc).otherwise(
+                F.struct((acc["depth"] + change).alias("depth"), (acc["used"] + 1).alias("used"))
+            )
+
+        used = F.aggregate(pieces, start, step)["used"]
+        return F.when(F.rlike(name, F.lit(rf"^{_VOID}$")), F.lit("")).otherwise(
+            F.array_join(F.slice(texts, F.lit(1), used), "")
         )
 
-    pieces = F.arrays_zip(slashes.alias("slashes"), texts.alias("texts"))
-    used = F.aggregate(pieces, start, step)["used"]
-    inner = F.array_join(F.slice(texts, F.lit(1), used), "")
-    return F.when(F.rlike(name, F.lit(rf"^{_VOID}\z")), F.lit("")).otherwise(inner)
+    rest = F.regexp_extract(markup, rf"(?s){_open_tag(selector)}.*+", 0)
+    return if_not_empty(_if_mentioned(markup, selector, rest), cut)
 
 
-def _content(markup: Column, selector: Selector) -> Column:
+def _element(markup: Column, selector: Selector) -> Column:
+    """The first element a selector finds, with its tags; null if there is none."""
     if selector.tag is None:
-        return _content_by_depth(markup, selector)
+        return _element_by_depth(markup, selector)
     # Elements picked by tag name do not nest: the next tag of the kind ends them.
     same = "h[1-6]" if selector.tag in ("h1", "h2", "h3", "h4", "h5", "h6") else selector.tag
-    end = rf"(?i:</?{same}){_NAME_END}|\z"
-    return F.regexp_extract(markup, rf"(?s){_open_tag(selector)}(.*?)(?:{end})", 2)
+    end = rf"(?=(?i:</?{same}){_NAME_END}|\z)"
+    element = F.regexp_extract(markup, rf"(?s){_open_tag(selector)}.*?{end}", 0)
+    return if_not_empty(_if_mentioned(markup, selector, element))
 
 
 def element_text(markup: Column, selectors: tuple[Selector, ...]) -> Column:
     """Text content of the element found by the first selector that finds one; null
     if none does."""
-    text = None
-    for selector in selectors:
-        found = F.rlike(markup, F.lit(_open_tag(selector)))
-        content = unmask(strip_tags(_content(markup, selector)))
-        text = F.when(found, content) if text is None else text.when(found, content)
-    return text
+    return unmask(strip_tags(F.coalesce(*(_element(markup, s) for s in selectors))))
 
 
 def trimmed_element_text(markup: Column, selectors: tuple[Selector, ...]) -> Column:
-    return empty_to_null(web_trim(element_text(markup, selectors)))
+    return if_not_empty(web_trim(element_text(markup, selectors)))
 
 
 def hrefs(markup: Column) -> Column:
@@ -241,9 +254,9 @@ def page_links(markup: Column, mark: str = PLACE_LINK_MARK) -> Column:
     return F.array_distinct(F.filter(hrefs(markup), lambda v: F.contains(v, F.lit(mark))))
 
 
-def lookup_text(page: Column) -> Column:
-    """Visible text followed by every link target that may hold a mail address."""
-    markup = page_markup(page, raw_text=False)
+def lookup_text(markup: Column) -> Column:
+    """Visible text followed by every link target that may hold a mail address. Takes
+    markup without raw text."""
     mails = F.filter(
         hrefs(markup),
         lambda v: F.contains(v, F.lit("mailto:")) | F.contains(v, F.lit("@")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,8 +25,17 @@ def web_trim(text: Column) -> Column:
     return F.regexp_replace(text, _EDGE_SPACE, "")
 
 
-def empty_to_null(text: Column) -> Column:
-    return F.when(text != "", text)
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it,
+    and only when the result is asked for. Written out, a value that is mentioned
+    twice may be computed twice."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def if_not_empty(text: Column, use: Callable[[Column], Column] | None = None) -> Column:
+    """``use(text)``, or the text itself; null if it is empty or null. Binds the text."""
+    kept = F.filter(F.array(text), lambda t: t != "")
+    return F.get(F.transform(kept, use) if use else kept, F.lit(0))
 
 
 def contains_any(text: Column, parts: tuple[str, ...] | list[str]) -> Column:

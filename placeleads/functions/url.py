@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeleads.constants import SITE_HOST
-from placeleads.functions.text import empty_to_null
+from placeleads.functions.text import if_not_empty
 
 # Percent escapes that form whole UTF-8 sequences; anything else cannot be decoded.
 _CONT = "%[89ab][0-9a-f]"
@@ -39,7 +39,7 @@ def place_url_decodes(url: Column) -> Column:
 def place_id(url: Column) -> Column:
     """Decoded URL segment after ``place/``, up to the first slash; null if there is none."""
     escaped = F.replace(_place_segment(url), F.lit("+"), F.lit("%2B"))
-    return empty_to_null(F.regexp_extract(F.try_url_decode(escaped), "^[^/]*", 0))
+    return if_not_empty(F.regexp_extract(F.try_url_decode(escaped), "^[^/]*", 0))
 
 
 def absolute_url(link: Column, host: str = SITE_HOST) -> Column:

@@ -18,15 +18,25 @@ def lookup_emails(
 ) -> DataFrame:
     """The email of every lookup query, from its first captured page. The email is
     read where the page is scanned, so that no HTML is shuffled."""
-    found = contact.lookup_candidates(html.lookup_text(F.col("html")), blocked_domains)
-    emails = lookup_pages.select("lookup_id", "lookup_query", found.alias("_found")).select(
-        "lookup_id",
-        "lookup_query",
-        contact.preferred_email(F.col("_found"), preferred_domain).alias("lookup_email"),
+    keys = ["lookup_id", "lookup_query"]
+    found = contact.lookup_candidates(F.col("_text"), blocked_domains)
+    emails = (
+        lookup_texts(lookup_pages)
+        .select(*keys, found.alias("_found"))
+        .select(*keys, contact.preferred_email(F.col("_found"), preferred_domain).alias("lookup_email"))
     )
     return first_wins(emails, ["lookup_query"], ["lookup_id"]).drop("lookup_id")
 
 
+def lookup_texts(lookup_pages: DataFrame) -> DataFrame:
+    """The text of every lookup page in which emails are looked for, as ``_text``."""
+    keys = ["lookup_id", "lookup_query"]
+    markup = html.page_markup(F.col("html"), raw_text=False)
+    return lookup_pages.select(*keys, markup.alias("_markup")).select(
+        *keys, html.lookup_text(F.col("_markup")).alias("_text")
+    )
+
+
 def enrich_emails(leads: DataFrame, lookup_emails: DataFrame) -> DataFrame:
     """Gives every lead without an email the one of its lookup query, if there is one.
 

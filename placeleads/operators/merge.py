@@ -28,9 +28,11 @@ def _anti(new: DataFrame, existing: DataFrame, key: Column) -> DataFrame:
     Existing keys are made distinct first (combined before the shuffle), so a key
     that fills the existing results is one row. Rows without a key must all stay;
     a hash of the row stands in for their key, which spreads them over the reducers.
-    A hot key among the new rows is split by the adaptive skew join.
+    A hot key among the new rows is split by the adaptive skew join. The empty key of
+    existing rows without one equals none of the new; were it null, Spark would filter
+    it below the distinct and compute the key, with all it is made of, twice.
     """
-    known = existing.select(key.alias("_key")).where("_key is not null").distinct()
+    known = existing.select(F.coalesce(key, F.lit("")).alias("_key")).distinct()
     stand_in = F.concat(F.lit("none "), F.xxhash64(*new.columns).cast("string"))
     keyed = new.withColumn("_key", F.coalesce(key, stand_in))
     return keyed.join(known, "_key", "left_anti").drop("_key")
