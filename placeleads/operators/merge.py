@@ -16,42 +16,48 @@ def _name_key() -> Column:
     return F.when(_id_key().isNull(), name)
 
 
-def _merge_key() -> Column:
-    return F.coalesce(
-        F.concat(F.lit("id "), _id_key()), F.concat(F.lit("name "), _name_key())
-    )
+def _tagged(keys: dict[str, Column]) -> list[Column]:
+    """Keys as texts that differ between kinds of key."""
+    return [F.concat(F.lit(f"{kind} "), key) for kind, key in keys.items()]
 
 
-def _anti(new: DataFrame, existing: DataFrame, key: Column) -> DataFrame:
-    """New rows whose key is not among the existing keys.
+def _anti(new: DataFrame, existing: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """New rows whose key is not among the existing keys; of ``keys`` at most one is
+    set in a row.
 
     Existing keys are made distinct first (combined before the shuffle), so a key
-    that fills the existing results is one row. Rows without a key must all stay;
-    a hash of the row stands in for their key, which spreads them over the reducers.
-    A hot key among the new rows is split by the adaptive skew join. The empty key of
-    existing rows without one equals none of the new; were it null, Spark would filter
-    it below the distinct and compute the key, with all it is made of, twice.
+    that fills the existing results is one row. The join key is made of them only
+    afterwards: with both inputs of the join freshly shuffled, the adaptive skew join
+    can split a key that fills the new rows, which it does not do on top of an
+    aggregate. Rows without a key must all stay; a hash of the row stands in for
+    their key, which spreads them over the reducers. The empty key of existing rows
+    without one equals none of the new; were it null, Spark would filter it below the
+    distinct and compute the key, with all it is made of, twice.
     """
-    known = existing.select(F.coalesce(key, F.lit("")).alias("_key")).distinct()
+    known = (
+        existing.select(*(key.alias(kind) for kind, key in keys.items()))
+        .distinct()
+        .select(F.coalesce(*_tagged({kind: F.col(kind) for kind in keys}), F.lit("")).alias("_key"))
+    )
     stand_in = F.concat(F.lit("none "), F.xxhash64(*new.columns).cast("string"))
-    keyed = new.withColumn("_key", F.coalesce(key, stand_in))
+    keyed = new.withColumn("_key", F.coalesce(*_tagged(keys), stand_in))
     return keyed.join(known, "_key", "left_anti").drop("_key")
 
 
 def new_by_id(new: DataFrame, existing: DataFrame) -> DataFrame:
     """New rows with a place id that no existing row has."""
-    return _anti(new.where(_id_key().isNotNull()), existing, F.concat(F.lit("id "), _id_key()))
+    return _anti(new.where(_id_key().isNotNull()), existing, {"id": _id_key()})
 
 
 def new_by_name(new: DataFrame, existing: DataFrame) -> DataFrame:
     """New rows without a place id whose name no existing row without one has. Rows
     with neither are kept."""
-    return _anti(new.where(_id_key().isNull()), existing, F.concat(F.lit("name "), _name_key()))
+    return _anti(new.where(_id_key().isNull()), existing, {"name": _name_key()})
 
 
 def new_only(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """``new_by_id`` and ``new_by_name`` together, in one join on a tagged key."""
-    return _anti(new, existing, _merge_key())
+    """``new_by_id`` and ``new_by_name`` together, in one join."""
+    return _anti(new, existing, {"id": _id_key(), "name": _name_key()})
 
 
 def merge_results(existing: DataFrame | None, new: DataFrame) -> DataFrame:

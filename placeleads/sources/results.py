@@ -25,20 +25,22 @@ def read_if_exists(spark: SparkSession, path: str, schema: T.StructType, **optio
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Result documents, one per file, with the text of those that are not valid JSON
-    in ``_corrupt``. No document at the path gives no rows.
+    """Result documents, one per file, with their ``path``, and with the text of those
+    that are not valid JSON in ``_corrupt``. No document at the path gives no rows.
 
     A document is one JSON value over many lines, so a file is read by one task; many
     files are read in parallel. Large results belong in the tables below.
     """
     schema = T.StructType([*DOCUMENT.fields, T.StructField(_CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("multiLine", True)
     try:
-        return reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+        files = spark.read.text(path, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        files = spark.createDataFrame([], "value string")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    document = F.from_json("value", schema, options).alias("document")
+    return files.select(F.input_file_name().alias("path"), document).select("path", "document.*")
 
 
 def places_of_documents(documents: DataFrame) -> DataFrame:
@@ -51,7 +53,7 @@ def places_of_documents(documents: DataFrame) -> DataFrame:
 def corrupt_documents(documents: DataFrame) -> DataFrame:
     """Documents that are not valid JSON. Never overwrite a file that shows up here."""
     return documents.where(F.col(_CORRUPT).isNotNull()).select(
-        F.input_file_name().alias("path"), F.col(_CORRUPT).alias("text")
+        "path", F.col(_CORRUPT).alias("text")
     )
 
 
