@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from placeleads.constants import CATEGORIES
+from placeleads.sources.pages import spread
 
 # A second run over other, partly equal places: ids 0, 1, 3, 4, 6, 7, ...
 SECOND_RUN_ID = "cast(floor(c_custkey * 3 / 2) as bigint)"
@@ -120,7 +121,7 @@ def result_pages_sql() -> str:
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(
         sql,
-        customer=spark.read.parquet(f"{sf_dir}/customer.parquet"),
+        customer=spread(spark.read.parquet(f"{sf_dir}/customer.parquet")),
         nation=spark.read.parquet(f"{sf_dir}/nation.parquet"),
     )
 

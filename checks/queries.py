@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_source.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return page_source.spread(page_source.read_pages(spark, f"{sf_dir}/pages.parquet"))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -63,7 +63,8 @@ def _second_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_scan(spark, sf_dir):
-    return _pages(spark, sf_dir).select("page_id", "url", F.md5("html").alias("html_md5"))
+    pages = page_source.read_pages(spark, f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", "url", F.md5("html").alias("html_md5"))
 
 
 def search_result_scan(spark, sf_dir):

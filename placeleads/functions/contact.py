@@ -15,7 +15,7 @@ from placeleads.constants import (
     PHONE_PATTERNS,
     PREFERRED_DOMAIN,
 )
-from placeleads.functions.text import bind, contains_any, if_not_empty, web_space, web_trim
+from placeleads.functions.text import bind, if_not_empty, mentions_any, web_space, web_trim
 
 _ENOUGH_DIGITS = rf"(?s)^(?:\D*+\d){{{MIN_PHONE_DIGITS}}}.*+\z"
 
@@ -48,7 +48,7 @@ def email_matches(text: Column) -> Column:
 def _drop_blocked(emails: Column, blocked: tuple[str, ...] | list[str]) -> Column:
     if not blocked:
         return emails
-    return F.filter(emails, lambda e: ~contains_any(F.lower(e), blocked))
+    return F.filter(emails, lambda e: ~mentions_any(F.lower(e), blocked))
 
 
 def extract_emails(

@@ -19,21 +19,22 @@ MALFORMED_URL = "malformed url"
 MISSING_HTML = "missing html"
 
 
-def _reason():
-    return F.when(~url.place_url_decodes(F.col("url")), MALFORMED_URL).when(
-        F.col("html").isNull(), MISSING_HTML
-    )
-
-
 def readable_pages(pages: DataFrame) -> DataFrame:
     """Pages a place can be read from. The test needs only the URL and whether there
     is HTML, so it runs before anything is extracted."""
-    return pages.where(_reason().isNull())
+    return pages.where(url.place_url_decodes(F.col("url")) & F.col("html").isNotNull())
 
 
 def quarantine(pages: DataFrame) -> DataFrame:
-    """The other pages, with the reason, without their HTML."""
-    return pages.withColumn("reason", _reason()).where("reason is not null").drop("html")
+    """The other pages, with the reason, without their HTML.
+
+    Two narrow scans instead of one wide one: the first leaves the HTML column alone,
+    the second lets Parquet skip every row group without a missing one.
+    """
+    decodes = url.place_url_decodes(F.col("url"))
+    malformed = pages.where(~decodes).withColumn("reason", F.lit(MALFORMED_URL)).drop("html")
+    missing = pages.where(F.col("html").isNull() & decodes)
+    return malformed.unionByName(missing.withColumn("reason", F.lit(MISSING_HTML)).drop("html"))
 
 
 def place_records(

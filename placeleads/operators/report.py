@@ -28,12 +28,8 @@ def results_envelope(places: DataFrame, query: str, location: str) -> DataFrame:
 def links_per_query(links: DataFrame, query: list[str]) -> DataFrame:
     """Distinct links found per search. A search with a third of all links is counted
     by (search, link) first, which spreads it over the reducers."""
-    return (
-        links.groupBy(*query, "href")
-        .agg(F.lit(1).alias("_one"))
-        .groupBy(*query)
-        .agg(F.count("*").alias("places_found"))
-    )
+    distinct = links.select(*query, "href").distinct()
+    return distinct.groupBy(*query).agg(F.count("*").alias("places_found"))
 
 
 def running_unique(rows: DataFrame, key: str, query: str, run: list[str]) -> DataFrame:

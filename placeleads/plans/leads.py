@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeleads.functions import url
-from placeleads.operators.dedup import dedup_by_name, dedup_by_place, first_wins, leads_only
+from placeleads.operators.dedup import dedup_by_place, first_wins, is_lead, with_name_key
 from placeleads.operators.enrich import enrich_emails, lookup_emails
 from placeleads.operators.extract import links, place_records, readable_pages
 
@@ -34,7 +34,18 @@ def leads_of_places(
     order: list[str],
     run: list[str] | None = None,
 ) -> DataFrame:
-    leads = leads_only(dedup_by_name(places, order, run)).drop("name_key")
+    """Dedup by name, lead filter and emails.
+
+    A place that cannot be a lead still hides later places of its name, but for that
+    its key and position are enough: its other fields are dropped before the shuffle.
+    """
+    keys = [*order, *(run or [])]
+    fields = [F.col(c) for c in places.columns if c not in keys]
+    slim = with_name_key(places).select(
+        *keys, "name_key", F.when(is_lead(), F.struct(*fields)).alias("_lead")
+    )
+    first = first_wins(slim, [*(run or []), "name_key"], order)
+    leads = first.where("_lead is not null").select(*keys, "_lead.*").select(*places.columns)
     if lookup_pages is None:
         return leads
     return enrich_emails(leads, lookup_emails(lookup_pages))

@@ -72,6 +72,13 @@ def test_quarantine_splits_the_pages(spark):
     assert reasons == {1: "malformed url", 2: "missing html"}
 
 
+def test_rejected_places_are_shuffled_without_their_fields(spark):
+    found = pipelines.find_leads(
+        pages(spark, page(extra='<a data-item-id="authority">w</a>'), page(), page("Pub"))
+    )
+    assert [(r["page_id"], r["name"], r["is_active"]) for r in found.collect()] == [(2, "Pub", True)]
+
+
 def test_name_of_a_quarantined_page_is_not_seen(spark):
     found = pipelines.find_leads(pages(spark, page(url="/maps/place/%ZZ"), page()))
     assert [r["page_id"] for r in found.collect()] == [1]
@@ -190,8 +197,12 @@ def test_no_query_makes_pairs(spark, plan_of):
 def test_scans_read_only_what_is_used(spark, plan_of):
     plan = plan_of(ALL["quarantine"](spark, SF_DIR))
     assert "c_acctbal" not in plan and "c_name" not in plan
+    plan = plan_of(extract.quarantine(spark.read.parquet(f"{SF_DIR}/pages.parquet")))
+    malformed, missing = plan.split("FileScan")[1:]
+    assert "ReadSchema: struct<page_id:bigint,url:string>" in malformed
+    assert "PushedFilters: [IsNull(html)" in missing
     pages_df = spark.read.parquet(f"{SF_DIR}/pages.parquet")
-    plan = plan_of(extract.quarantine(pages_df).select("page_id", "reason"))
-    assert "ReadSchema: struct<page_id:bigint,url:string,html:string>" in plan
+    plan = plan_of(extract.readable_pages(pages_df))
+    assert "PushedFilters: [IsNotNull(html)" in plan
     keyed = pages_df.select(place_key(F.col("url"), F.col("url")).alias("k"))
     assert "ReadSchema: struct<url:string>" in plan_of(keyed)
