@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from placeleads.constants import SELECTORS
 from placeleads.functions import contact, html, url
+from placeleads.functions.text import contains_any
 from placeleads.operators import dedup, enrich, extract, merge, report
 from placeleads.plans import leads as pipelines
 from placeleads.plans import search
@@ -33,6 +34,10 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_source.spread(page_source.read_pages(spark, f"{sf_dir}/pages.parquet"))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_source.spread(_table(spark, sf_dir, "documents"))
+
+
 def _flat(df: DataFrame) -> DataFrame:
     """Emails as one text, which compares the same in every engine."""
     if "emails" not in df.columns:
@@ -222,14 +227,12 @@ def is_active(spark, sf_dir):
 
 
 def is_active_documents(spark, sf_dir):
-    from placeleads.functions.text import contains_any
-
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    docs = _documents(spark, sf_dir).select("doc_id", F.lower("text").alias("text"))
     return docs.select("doc_id", (~contains_any(F.col("text"), DOCUMENT_PHRASES)).alias("is_active"))
 
 
 def extract_phone(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select(
+    return _documents(spark, sf_dir).select(
         "doc_id", contact.extract_phone(F.col("text")).alias("phone")
     )
 
@@ -255,13 +258,13 @@ def has_website(spark, sf_dir):
 
 def extract_emails(spark, sf_dir):
     found = contact.extract_emails(F.col("text"), blocked=("mail1.",))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("email"))
+    return _documents(spark, sf_dir).select("doc_id", F.explode(found).alias("email"))
 
 
 def extract_emails_default(spark, sf_dir):
     """The default block list on documents, as a count of what is left per document."""
     found = contact.extract_emails(F.col("text"))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("emails_left"))
+    return _documents(spark, sf_dir).select("doc_id", F.size(found).alias("emails_left"))
 
 
 def page_links(spark, sf_dir):
