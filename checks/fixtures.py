@@ -118,6 +118,17 @@ def result_pages_sql() -> str:
     )
 
 
+def locations_sql() -> str:
+    """s_suppkey, location: a town per supplier, with or without country and continent."""
+    return (
+        "select s_suppkey, case s_suppkey % 3 when 0 then s_name "
+        "when 1 then concat(s_name, ', ', n_name) "
+        "else concat(s_name, ' ,', n_name, ',  ', r_name) end as location "
+        "from {supplier} join {nation} on s_nationkey = n_nationkey "
+        "join {region} on n_regionkey = r_regionkey"
+    )
+
+
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(
         sql,
@@ -126,6 +137,12 @@ def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     )
 
 
+def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("supplier", "nation", "region")
+    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
+    return spark.sql(locations_sql(), **tables)
+
+
 def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, place_pages_sql())
 

@@ -137,8 +137,11 @@ _CTES = {
         then [m.email] else l.emails end as emails
       from leads l left join lookup_emails m
         on m.lookup_query = concat(l.name, ' ', {_CITY}, ' email')""",
-    "locations": "select n_nationkey, concat(n_name, ', ', r_name) as location, n_name as area, "
-    "r_name as country from nation join region on n_regionkey = r_regionkey",
+    "locations": "select s_suppkey, location, trim(string_split(location, ',')[1]) as area, "
+    "array_to_string(list_transform(string_split(location, ',')[2:], lambda p: trim(p)), ', ') "
+    f"as country from ({fixtures.locations_sql()})".format(
+        supplier="supplier", nation="nation", region="region"
+    ),
 }
 
 
@@ -188,12 +191,15 @@ def _zones(zones: int) -> str:
     )
 
 
-_LOCATED = "(select n_nationkey, location, area, concat(', ', country) as tail from locations)"
+_LOCATED = (
+    "(select s_suppkey, location, area, "
+    "case when country <> '' then concat(', ', country) else '' end as tail from locations)"
+)
 
 
 def _variants(values: str) -> str:
     return _with(
-        f"select n_nationkey, cast(i - 1 as int) as seq, v[i] as place from (select n_nationkey, "
+        f"select s_suppkey, cast(i - 1 as int) as seq, v[i] as place from (select s_suppkey, "
         f"{values} as v from {_LOCATED}) cross join generate_series(1, 60) as g(i) where i <= len(v)",
         "locations",
     )
@@ -212,7 +218,7 @@ def _plan(variants: str, source: str, keys: str) -> str:
       group by {keys}, concat(cats[j], ' in ', v[i]))"""
 
 
-_FULL_PLAN = _plan(_SUB_LOCATIONS, _LOCATED, "n_nationkey, location")
+_FULL_PLAN = _plan(_SUB_LOCATIONS, _LOCATED, "s_suppkey, location")
 _NATION_PLAN = _plan(
     _SUB_LOCATIONS, "(select n_name as location, n_name as area, '' as tail from nation)", "location"
 )
@@ -310,19 +316,19 @@ ORACLE = {
     "stream_leads": _with(f"select page_id, {_PLACE} from leads", "leads"),
     "stream_dedup": _PAGES_FIRST,
     "stream_append": _with(_SUMMARY + "enriched", "enriched"),
-    "category_dim": "select n_nationkey, cast(j - 1 as int) as cat_seq, "
-    f"({_list(c.CATEGORIES)})[j] as category from nation cross join generate_series(1, 20) as g(j)",
-    "location_parse": _with("select n_nationkey, area, country from locations", "locations"),
+    "category_dim": "select s_suppkey, cast(j - 1 as int) as cat_seq, "
+    f"({_list(c.CATEGORIES)})[j] as category from supplier cross join generate_series(1, 20) as g(j)",
+    "location_parse": _with("select s_suppkey, area, country from locations", "locations"),
     "subdivide_location": _variants(_SUB_LOCATIONS),
     "zone_searches": _variants(_zones(10)),
     "search_plan": _with(_FULL_PLAN, "locations"),
     "search_plan_zones": _with(
-        _plan(f"list_concat({_SUB_LOCATIONS}, {_zones(5)})", _LOCATED, "n_nationkey, location"),
+        _plan(f"list_concat({_SUB_LOCATIONS}, {_zones(5)})", _LOCATED, "s_suppkey, location"),
         "locations",
     ),
     "plan_preview": _with(
-        "select n_nationkey, location, query_seq, search_query, cast(greatest(total - 5, 0) as int) "
-        "as more from (select *, count(*) over (partition by n_nationkey) as total "
+        "select s_suppkey, location, query_seq, search_query, cast(greatest(total - 5, 0) as int) "
+        "as more from (select *, count(*) over (partition by s_suppkey) as total "
         f"from ({_FULL_PLAN})) where query_seq < 5",
         "locations",
     ),

@@ -45,12 +45,6 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumn("emails", F.array_join("emails", " "))
 
 
-def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return joined.select("n_nationkey", F.concat("n_name", F.lit(", "), "r_name").alias("location"))
-
-
 def _markup(pages: DataFrame) -> DataFrame:
     return pages.withColumn("markup", html.page_markup(F.col("html"))).drop("html")
 
@@ -142,13 +136,13 @@ def stream_append(spark, sf_dir):
 
 
 def category_dim(spark, sf_dir):
-    return search.category_dimension(_table(spark, sf_dir, "nation").select("n_nationkey"))
+    return search.category_dimension(_table(spark, sf_dir, "supplier").select("s_suppkey"))
 
 
 def location_parse(spark, sf_dir):
     location = F.col("location")
-    return _locations(spark, sf_dir).select(
-        "n_nationkey",
+    return fixtures.locations(spark, sf_dir).select(
+        "s_suppkey",
         search.location_area(location).alias("area"),
         search.location_country(location).alias("country"),
     )
@@ -156,28 +150,28 @@ def location_parse(spark, sf_dir):
 
 def subdivide_location(spark, sf_dir):
     variants = search.sub_locations(F.col("location"))
-    return _locations(spark, sf_dir).select(
-        "n_nationkey", F.posexplode(variants).alias("seq", "place")
+    return fixtures.locations(spark, sf_dir).select(
+        "s_suppkey", F.posexplode(variants).alias("seq", "place")
     )
 
 
 def zone_searches(spark, sf_dir):
     variants = search.zone_locations(F.col("location"))
-    return _locations(spark, sf_dir).select(
-        "n_nationkey", F.posexplode(variants).alias("seq", "place")
+    return fixtures.locations(spark, sf_dir).select(
+        "s_suppkey", F.posexplode(variants).alias("seq", "place")
     )
 
 
 def search_plan(spark, sf_dir):
-    return search.search_plan(_locations(spark, sf_dir))
+    return search.search_plan(fixtures.locations(spark, sf_dir))
 
 
 def search_plan_zones(spark, sf_dir):
-    return search.search_plan(_locations(spark, sf_dir), include_zones=True)
+    return search.search_plan(fixtures.locations(spark, sf_dir), include_zones=True)
 
 
 def plan_preview(spark, sf_dir):
-    return search.plan_preview(_locations(spark, sf_dir))
+    return search.plan_preview(fixtures.locations(spark, sf_dir))
 
 
 def search_text(spark, sf_dir):
