@@ -12,6 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from placeleads.constants import CATEGORIES
 from placeleads.sources.pages import spread
 
+# Schemas of the given tables that the derived ones and the queries read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 # A second run over other, partly equal places: ids 0, 1, 3, 4, 6, 7, ...
 SECOND_RUN_ID = "cast(floor(c_custkey * 3 / 2) as bigint)"
 
@@ -129,18 +141,18 @@ def locations_sql() -> str:
     )
 
 
-def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(
-        sql,
-        customer=spread(spark.read.parquet(f"{sf_dir}/customer.parquet")),
-        nation=spark.read.parquet(f"{sf_dir}/nation.parquet"),
-    )
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("supplier", "nation", "region")
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
-    return spark.sql(locations_sql(), **tables)
+    return spark.sql(locations_sql(), **{name: table(spark, sf_dir, name) for name in names})
+
+
+def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    customer = spread(table(spark, sf_dir, "customer"))
+    return spark.sql(sql, customer=customer, nation=table(spark, sf_dir, "nation"))
 
 
 def place_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

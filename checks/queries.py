@@ -26,16 +26,12 @@ LANGUAGE = "^[a-z]+://[^/]+/([a-z]+)/"
 DOMAIN_END = r"^[a-z]+://[^/]*\.([a-z]+)/"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_source.spread(page_source.read_pages(spark, f"{sf_dir}/pages.parquet"))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_source.spread(_table(spark, sf_dir, "documents"))
+    return page_source.spread(fixtures.table(spark, sf_dir, "documents"))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -136,7 +132,7 @@ def stream_append(spark, sf_dir):
 
 
 def category_dim(spark, sf_dir):
-    return search.category_dimension(_table(spark, sf_dir, "supplier").select("s_suppkey"))
+    return search.category_dimension(fixtures.table(spark, sf_dir, "supplier").select("s_suppkey"))
 
 
 def location_parse(spark, sf_dir):
@@ -175,14 +171,14 @@ def plan_preview(spark, sf_dir):
 
 
 def search_text(spark, sf_dir):
-    part, nation = _table(spark, sf_dir, "part"), _table(spark, sf_dir, "nation")
+    part, nation = fixtures.table(spark, sf_dir, "part"), fixtures.table(spark, sf_dir, "nation")
     blank = F.when(F.col("p_partkey") % 3 == 0, "  ").otherwise(F.col("p_type"))
     joined = part.join(nation, F.col("p_partkey") % 25 == F.col("n_nationkey"))
     return joined.select("p_partkey", search.search_text(blank, F.col("n_name")).alias("search_query"))
 
 
 def _nation_plan(spark, sf_dir):
-    nation = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("location"))
+    nation = fixtures.table(spark, sf_dir, "nation").select(F.col("n_name").alias("location"))
     return search.search_plan(nation)
 
 
