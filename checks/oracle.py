@@ -314,7 +314,7 @@ ORACLE = {
         "leads",
     ),
     "stream_leads": _with(f"select page_id, {_PLACE} from leads", "leads"),
-    "stream_dedup": _PAGES_FIRST,
+    "stream_dedup": f"select page_id, name_key from ({_PAGES_FIRST})",
     "stream_append": _with(_SUMMARY + "enriched", "enriched"),
     "category_dim": "select s_suppkey, cast(j - 1 as int) as cat_seq, "
     f"({_list(c.CATEGORIES)})[j] as category from supplier cross join generate_series(1, 20) as g(j)",

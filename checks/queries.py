@@ -118,7 +118,7 @@ def stream_leads(spark, sf_dir):
 
 def stream_dedup(spark, sf_dir):
     store = _run_stream(spark, _pages(spark, sf_dir), "stream-dedup")
-    return streaming.read_sightings(spark, store).select("page_id", "name", "name_key")
+    return streaming.read_sightings(spark, store).select("page_id", "name_key")
 
 
 def stream_append(spark, sf_dir):

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from placeleads.constants import PLACE_LINK_MARK, Selector
 from placeleads.functions.text import bind, contains_any, if_not_empty, web_trim
 
-# Elements whose content a browser takes as raw text.
-_RAW = "(?i:script|style|noscript|iframe|noembed|noframes|xmp)"
+# Elements whose content a browser takes as raw text, and one whose content it keeps
+# out of the page.
+_RAW = "(?i:script|style|noscript|iframe|noembed|noframes|xmp|template)"
 # Elements that start a new line when a page is shown.
 _BLOCK = (
     "(?i:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer"
@@ -111,7 +112,7 @@ def page_markup(page: Column, raw_text: bool = True) -> Column:
         raw = F.translate(F.regexp_extract(token, raw_element, 2), "<", _MASKS[0])
         return (
             F.when(F.startswith(token, F.lit("&")) & (token != "&"), _decoded_reference(token))
-            .when(F.startswith(token, F.lit("<!--")), F.lit(""))
+            .when(F.rlike(start, F.lit(f"^<(?:!--|(?i:template){_NAME_END})")), F.lit(""))
             .when(F.rlike(start, F.lit(f"^<{_RAW}{_NAME_END}")), raw if raw_text else F.lit(""))
             .otherwise(token)
         )

@@ -29,6 +29,10 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
+def is_lead() -> Column:
+    return ~F.col("has_website") & F.col("name").isNotNull() & F.col("is_active")
+
+
 def with_name_key(places: DataFrame) -> DataFrame:
     return places.withColumn("name_key", F.lower("name"))
 
@@ -39,6 +43,18 @@ def dedup_by_name(places: DataFrame, order: list[str], run: list[str] | None = N
     return first_wins(with_name_key(places), [*(run or []), "name_key"], order)
 
 
+def first_sightings(places: DataFrame, order: list[str], run: list[str] | None = None) -> DataFrame:
+    """The same, with the fields of the place in the struct ``lead``, which is null if
+    the place is none. A place that cannot be a lead still hides later places of its
+    name, but its key and position are enough for that: its other fields are dropped
+    before the shuffle."""
+    keys = [*order, *(run or [])]
+    fields = [F.col(c) for c in places.columns if c not in keys]
+    lead = F.when(is_lead(), F.struct(*fields)).alias("lead")
+    slim = with_name_key(places).select(*keys, "name_key", lead)
+    return first_wins(slim, [*(run or []), "name_key"], order)
+
+
 def place_key(place_id: Column, name: Column) -> Column:
     return F.coalesce(F.when(place_id != "", place_id), F.when(name != "", F.lower(name)))
 
@@ -49,10 +65,6 @@ def dedup_by_place(places: DataFrame, order: list[str], run: list[str] | None =
     return first_wins(keyed, [*(run or []), "place_key"], order)
 
 
-def is_lead() -> Column:
-    return ~F.col("has_website") & F.col("name").isNotNull() & F.col("is_active")
-
-
 def leads_only(places: DataFrame) -> DataFrame:
     """Active places with a name and without a website."""
     return places.where(is_lead())

@@ -40,13 +40,16 @@ def lookup_texts(lookup_pages: DataFrame) -> DataFrame:
 def enrich_emails(leads: DataFrame, lookup_emails: DataFrame) -> DataFrame:
     """Gives every lead without an email the one of its lookup query, if there is one.
 
-    All leads take part in the join, those with an email too: nulling their key would
-    send them all to one reducer. Names are distinct by now, hence so are, but for
-    rare cases, the lookup queries; the other side holds one row per query.
+    All rows take part in the join, those with an email too: nulling their key would
+    send them all to one reducer. For the same reason a row without a name gets a hash
+    as its key. Names are distinct by now, hence so are, but for rare cases, the lookup
+    queries; the other side holds one row per query.
     """
     columns = leads.columns
-    keyed = leads.withColumn("lookup_query", contact.lookup_query(F.col("name"), F.col("address")))
-    use = (F.size("emails") == 0) & F.col("lookup_email").isNotNull()
+    query = contact.lookup_query(F.col("name"), F.col("address"))
+    stand_in = F.concat(F.lit("none "), F.xxhash64(*columns).cast("string"))
+    keyed = leads.withColumn("lookup_query", F.coalesce(query, stand_in))
+    use = F.col("name").isNotNull() & (F.size("emails") == 0) & F.col("lookup_email").isNotNull()
     return (
         keyed.join(lookup_emails, "lookup_query", "left")
         .withColumn("emails", F.when(use, F.array("lookup_email")).otherwise(F.col("emails")))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placeleads.constants import PLACE_LINK_MARK, SITE_HOST
 from placeleads.functions import url
-from placeleads.operators.dedup import dedup_by_place, first_wins, is_lead, with_name_key
+from placeleads.operators.dedup import dedup_by_place, first_sightings, first_wins
 from placeleads.operators.enrich import enrich_emails, lookup_emails
 from placeleads.operators.extract import links, place_records, readable_pages
 
@@ -20,11 +21,14 @@ def find_leads(
     *,
     order: list[str] | None = None,
     run: list[str] | None = None,
+    lookup_options: dict | None = None,
     **extract_options,
 ) -> DataFrame:
     """Leads of one search whose place pages were captured in ``order``."""
     places = place_records(readable_pages(pages), **extract_options)
-    return leads_of_places(places, lookup_pages, order=order or ["page_id"], run=run)
+    return leads_of_places(
+        places, lookup_pages, order=order or ["page_id"], run=run, lookup_options=lookup_options
+    )
 
 
 def leads_of_places(
@@ -33,22 +37,14 @@ def leads_of_places(
     *,
     order: list[str],
     run: list[str] | None = None,
+    lookup_options: dict | None = None,
 ) -> DataFrame:
-    """Dedup by name, lead filter and emails.
-
-    A place that cannot be a lead still hides later places of its name, but for that
-    its key and position are enough: its other fields are dropped before the shuffle.
-    """
-    keys = [*order, *(run or [])]
-    fields = [F.col(c) for c in places.columns if c not in keys]
-    slim = with_name_key(places).select(
-        *keys, "name_key", F.when(is_lead(), F.struct(*fields)).alias("_lead")
-    )
-    first = first_wins(slim, [*(run or []), "name_key"], order)
-    leads = first.where("_lead is not null").select(*keys, "_lead.*").select(*places.columns)
+    """Dedup by name, lead filter and emails, for places read earlier."""
+    first = first_sightings(places, order, run).where("lead is not null")
+    leads = first.select(*order, *(run or []), "lead.*").select(*places.columns)
     if lookup_pages is None:
         return leads
-    return enrich_emails(leads, lookup_emails(lookup_pages))
+    return enrich_emails(leads, lookup_emails(lookup_pages, **(lookup_options or {})))
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
@@ -56,24 +52,26 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def searched_links(result_pages: DataFrame, plan: DataFrame) -> DataFrame:
+def searched_links(
+    result_pages: DataFrame, plan: DataFrame, mark: str = PLACE_LINK_MARK
+) -> DataFrame:
     """Links of captured result pages, with the number of their search.
 
     Links are read before the join, so the HTML is not shuffled. The plan is broadcast
     if it is small, which is counted; else both sides are shuffled, and the adaptive
     skew join splits a search with very many links.
     """
-    found = links(result_pages)
+    found = links(result_pages, mark)
     numbered = plan.select("location", "query_seq", "search_query")
     if has_at_most(numbered, MAX_BROADCAST_SEARCHES):
         return found.join(F.broadcast(numbered), "search_query")
     return found.join(numbered.hint("merge"), "search_query")
 
 
-def first_link_sightings(searched: DataFrame) -> DataFrame:
+def first_link_sightings(searched: DataFrame, host: str = SITE_HOST) -> DataFrame:
     """Each place URL of a run where it was first seen. Later sightings lead to the
     same page, whose name is known by then, so they cannot add a place."""
-    absolute = searched.withColumn("url", url.absolute_url(F.col("href")))
+    absolute = searched.withColumn("url", url.absolute_url(F.col("href"), host))
     return first_wins(
         absolute, ["location", "url"], ["query_seq", "page_id", "link_pos"]
     ).drop("href")
@@ -84,6 +82,10 @@ def find_leads_by_plan(
     result_pages: DataFrame,
     pages: DataFrame,
     lookup_pages: DataFrame | None = None,
+    *,
+    mark: str = PLACE_LINK_MARK,
+    host: str = SITE_HOST,
+    lookup_options: dict | None = None,
     **extract_options,
 ) -> DataFrame:
     """Leads of a subdivided search: every location of the plan is a run of its own.
@@ -92,15 +94,17 @@ def find_leads_by_plan(
     record, one per URL; a URL has one link per location on the other side. Should that
     still be too many, the adaptive skew join splits them.
     """
-    sightings = first_link_sightings(searched_links(result_pages, plan)).select(
+    sightings = first_link_sightings(searched_links(result_pages, plan, mark), host).select(
         "location", "query_seq", F.col("page_id").alias("result_page_id"), "link_pos", "url"
     )
-    target = pages.withColumn("url", url.absolute_url(F.col("url")))
+    target = pages.withColumn("url", url.absolute_url(F.col("url"), host))
     records = place_records(
         readable_pages(target).withColumn("page_url", F.col("url")), **extract_options
     )
     by_url = first_wins(records, ["page_url"], ["page_id"])
     places = sightings.join(by_url, sightings["url"] == by_url["page_url"]).drop("url", "page_url")
     order = ["query_seq", "result_page_id", "link_pos"]
-    leads = leads_of_places(places, lookup_pages, order=order, run=["location"])
+    leads = leads_of_places(
+        places, lookup_pages, order=order, run=["location"], lookup_options=lookup_options
+    )
     return dedup_by_place(leads, order, ["location"]).drop("place_key")

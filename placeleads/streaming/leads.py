@@ -4,7 +4,8 @@ Each micro-batch adds one directory of *sightings*: the first place of every nam
 no earlier batch has seen, whether it is a lead or not. That one table is both the
 memory of the dedup, which must know rejected names as well, and the result, which is
 its ``is_lead=true`` part. A batch that is run again replaces its own directory and
-looks only at earlier ones, so a restart neither loses nor doubles a lead.
+looks only at earlier ones, so a restart neither loses nor doubles a lead. Reading the
+seen names costs one narrow column; the pages behind them are hundreds of times larger.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from placeleads.operators.dedup import dedup_by_name, is_lead
+from placeleads.operators.dedup import first_sightings
 from placeleads.operators.enrich import enrich_emails
 from placeleads.operators.extract import place_records, quarantine, readable_pages
 from placeleads.schema import PLACE, SIGHTING
@@ -23,7 +24,8 @@ from placeleads.sources.results import read_if_exists
 
 
 def read_sightings(spark: SparkSession, store: str) -> DataFrame:
-    """First sightings of all names, leads and others."""
+    """First sightings of all names. Of those that are no leads, only the key and the
+    page are kept."""
     return read_if_exists(spark, f"{store}/sightings", SIGHTING)
 
 
@@ -51,7 +53,8 @@ def start_lead_stream(
     **extract_options,
 ) -> StreamingQuery:
     """Starts the stream. ``pages`` has ``page_id``, ``url`` and ``html``; files must
-    arrive in the order of ``page_id``. ``emails`` is the output of ``lookup_emails``.
+    arrive in the order of ``page_id``. ``emails`` is the output of ``lookup_emails``;
+    as every batch reads it, write it to a table first if it is large.
 
     ``on_result`` gets the new leads of every batch as a DataFrame, ``on_progress``
     the counts ``batch_id``, ``processed`` and ``found``.
@@ -63,14 +66,16 @@ def start_lead_stream(
         counts = Observation()
         counted = batch.observe(counts, F.count("*").alias("processed"))
         places = place_records(readable_pages(counted), **extract_options)
-        new = dedup_by_name(places, ["page_id"])
+        new = first_sightings(places, ["page_id"]).select(
+            "page_id", "name_key", "lead.*", F.col("lead").isNotNull().alias("is_lead")
+        )
         if batch_id > 0:
             seen = read_sightings(spark, store).where(F.col("batch_id") < batch_id)
             new = new.join(seen.select("name_key"), "name_key", "left_anti")
         if emails is not None:
             new = enrich_emails(new, emails)
-        sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), is_lead().alias("is_lead"))
         own = f"{store}/sightings/batch_id={batch_id}"
+        sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "is_lead")
         sightings.write.mode("overwrite").partitionBy("is_lead").parquet(own)
         quarantine(batch).write.mode("overwrite").parquet(
             f"{store}/quarantine/batch_id={batch_id}"

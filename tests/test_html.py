@@ -122,6 +122,7 @@ def test_bare_names_stop_at_letters_and_equals_signs(one):
         ("<h1> Bar &amp; Co </h1>", "Bar & Co"),
         ("<H1 class='a>b'><b>Bar</b>\n Co</H1>", "Bar\n Co"),
         ("<!-- <h1>no</h1> --><script>'<h1>no</h1>'</script><h1>yes</h1>", "yes"),
+        ("<template><h1>no</h1></template><h1>yes</h1>", "yes"),
         ("<h1>a</h1><h1>b</h1>", "a"),
         ("<h1>  ﻿</h1><h1>b</h1>", None),
         ("<h1>open", "open"),
