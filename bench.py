@@ -15,8 +15,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.queries import ALL  # noqa: E402
-from checks.session import local_session  # noqa: E402
+from leadchecks.queries import ALL  # noqa: E402
+from leadchecks.session import local_session  # noqa: E402
 
 HEADLINE = (
     "page_scan",

@@ -1,6 +1,6 @@
 """Runs every query in Spark and its SQL in DuckDB, and compares the rows.
 
-Usage: python -m checks.compare [data folder] [query ...]
+Usage: python -m leadchecks.compare [data folder] [query ...]
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ import time
 
 import duckdb
 
-from checks.oracle import ORACLE
-from checks.queries import ALL
+from leadchecks.oracle import ORACLE
+from leadchecks.queries import ALL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -54,7 +54,7 @@ def compare(spark, connection, sf_dir: str, name: str) -> dict:
 
 
 if __name__ == "__main__":
-    from checks.session import local_session
+    from leadchecks.session import local_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(ALL)

@@ -6,8 +6,8 @@ nothing with the library but the fixed values.
 
 from __future__ import annotations
 
-from checks import fixtures
-from checks.queries import DOCUMENT_PHRASES, DOMAIN_END, LANGUAGE, LINK_MARK
+from leadchecks import fixtures
+from leadchecks.queries import DOCUMENT_PHRASES, DOMAIN_END, LANGUAGE, LINK_MARK
 from placeleads import constants as c
 from placeleads.functions.text import web_space
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from leadchecks import fixtures
 from placeleads.constants import SELECTORS
 from placeleads.functions import contact, html, url
 from placeleads.functions.text import contains_any
@@ -20,7 +20,7 @@ from placeleads.streaming import leads as streaming
 # Parameters where a default would leave nothing to compare on the given tables.
 LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
-STREAM_SLICES = 4
+STREAM_SLICES = 3
 
 LANGUAGE = "^[a-z]+://[^/]+/([a-z]+)/"
 DOMAIN_END = r"^[a-z]+://[^/]*\.([a-z]+)/"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeleads.constants import (
@@ -19,6 +19,13 @@ MALFORMED_URL = "malformed url"
 MISSING_HTML = "missing html"
 
 
+def quarantine_reason() -> Column:
+    """Why no place can be read from a page; null if one can."""
+    return F.when(~url.place_url_decodes(F.col("url")), MALFORMED_URL).when(
+        F.col("html").isNull(), MISSING_HTML
+    )
+
+
 def readable_pages(pages: DataFrame) -> DataFrame:
     """Pages a place can be read from. The test needs only the URL and whether there
     is HTML, so it runs before anything is extracted."""

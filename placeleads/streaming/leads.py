@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from placeleads.operators.dedup import first_sightings
 from placeleads.operators.enrich import enrich_emails
-from placeleads.operators.extract import place_records, quarantine, readable_pages
+from placeleads.operators.extract import place_records, quarantine_reason
 from placeleads.schema import PLACE, SIGHTING
 from placeleads.sources.results import read_if_exists
 
@@ -57,37 +57,52 @@ def start_lead_stream(
     as every batch reads it, write it to a table first if it is large.
 
     ``on_result`` gets the new leads of every batch as a DataFrame, ``on_progress``
-    the counts ``batch_id``, ``processed`` and ``found``.
+    the counts ``batch_id``, ``processed``, ``quarantined`` and ``found``.
+
+    Pages are read in the streaming plan itself, so that a batch consists of records
+    without HTML. It is kept until the batch is done, for its pages to be read once.
     """
+    reason = quarantine_reason()
+    marked = pages.withColumns({"reason": reason, "bad_url": F.when(reason.isNotNull(), F.col("url"))})
+    records = place_records(marked, **extract_options)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Observations outlive a failed try, so a repeated batch needs another name.
-        counts = Observation()
-        counted = batch.observe(counts, F.count("*").alias("processed"))
-        places = place_records(readable_pages(counted), **extract_options)
-        new = first_sightings(places, ["page_id"]).select(
-            "page_id", "name_key", "lead.*", F.col("lead").isNotNull().alias("is_lead")
-        )
-        if batch_id > 0:
-            seen = read_sightings(spark, store).where(F.col("batch_id") < batch_id)
-            new = new.join(seen.select("name_key"), "name_key", "left_anti")
-        if emails is not None:
-            new = enrich_emails(new, emails)
-        own = f"{store}/sightings/batch_id={batch_id}"
-        sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "is_lead")
-        sightings.write.mode("overwrite").partitionBy("is_lead").parquet(own)
-        quarantine(batch).write.mode("overwrite").parquet(
-            f"{store}/quarantine/batch_id={batch_id}"
-        )
-        if on_result is None and on_progress is None:
-            return
-        leads = read_stream_leads(spark, store).where(F.col("batch_id") == batch_id)
-        if on_result is not None:
-            on_result(leads, batch_id)
-        if on_progress is not None:
-            found = leads.count()
-            on_progress({"batch_id": batch_id, **counts.get, "found": found})
-
-    writer = pages.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+        batch.persist()
+        try:
+            _add_batch(batch, batch_id, store, emails)
+            if on_result is None and on_progress is None:
+                return
+            spark = batch.sparkSession
+            leads = read_stream_leads(spark, store).where(F.col("batch_id") == batch_id)
+            if on_result is not None:
+                on_result(leads, batch_id)
+            if on_progress is not None:
+                counts = batch.agg(
+                    F.count("*").alias("processed"), F.count("reason").alias("quarantined")
+                )
+                found = leads.count()
+                on_progress({"batch_id": batch_id, **counts.first().asDict(), "found": found})
+        finally:
+            batch.unpersist()
+
+    writer = records.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _add_batch(batch: DataFrame, batch_id: int, store: str, emails: DataFrame | None) -> None:
+    """Writes the sightings and the quarantined pages of one batch."""
+    spark = batch.sparkSession
+    places = batch.where("reason is null").drop("reason", "bad_url")
+    new = first_sightings(places, ["page_id"]).select(
+        "page_id", "name_key", "lead.*", F.col("lead").isNotNull().alias("is_lead")
+    )
+    if batch_id > 0:
+        seen = read_sightings(spark, store).where(F.col("batch_id") < batch_id)
+        new = new.join(seen.select("name_key"), "name_key", "left_anti")
+    if emails is not None:
+        new = enrich_emails(new, emails)
+    sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "is_lead")
+    own = f"{store}/sightings/batch_id={batch_id}"
+    sightings.write.mode("overwrite").partitionBy("is_lead").parquet(own)
+    bad = batch.where("reason is not null").select("page_id", F.col("bad_url").alias("url"), "reason")
+    bad.write.mode("overwrite").parquet(f"{store}/quarantine/batch_id={batch_id}")

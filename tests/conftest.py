@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from checks.session import local_session  # noqa: E402
+from leadchecks.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from leadchecks import fixtures
 from placeleads.operators import dedup
 from placeleads.operators.extract import place_records, readable_pages
 from placeleads.plans.leads import find_leads

@@ -2,9 +2,9 @@
 
 import pytest
 
-from checks.compare import compare, connect
-from checks.oracle import ORACLE
-from checks.queries import ALL
+from leadchecks.compare import compare, connect
+from leadchecks.oracle import ORACLE
+from leadchecks.queries import ALL
 
 SF_DIR = "/root/testdata/sf0.001"
 

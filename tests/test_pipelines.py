@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from checks import fixtures
-from checks.queries import ALL
+from leadchecks import fixtures
+from leadchecks.queries import ALL
 from placeleads.operators import enrich, extract, report
 from placeleads.operators.dedup import place_key
 from placeleads.plans import leads as pipelines

@@ -1,6 +1,6 @@
 import pytest
 
-from checks import fixtures
+from leadchecks import fixtures
 from placeleads.operators.enrich import lookup_emails
 from placeleads.plans.leads import find_leads
 from placeleads.schema import PLACE
@@ -41,6 +41,7 @@ def test_stream_equals_batch(spark, tmp_path, place_pages):
     assert [b for b, _ in batches] == [0, 1, 2]
     assert sum(n for _, n in batches) == batch.count()
     assert [p["processed"] for p in progress] == [50, 50, 50]
+    assert sum(p["quarantined"] for p in progress) == spark.read.parquet(f"{store}/quarantine").count()
     assert [p["found"] for p in progress] == [n for _, n in batches]
     assert streaming.stream_totals(spark, store).first()["total_found"] == batch.count()
     quarantined = spark.read.parquet(f"{store}/quarantine")
@@ -110,3 +111,20 @@ def test_rejected_names_are_remembered(spark, tmp_path):
     ).awaitTermination()
     assert streaming.read_stream_leads(spark, store).count() == 0
     assert streaming.read_sightings(spark, store).count() == 1
+
+
+def test_html_does_not_reach_the_batch(spark, tmp_path, place_pages, monkeypatch):
+    files, columns, plans = str(tmp_path / "files"), [], []
+    arrive(place_pages, files, 0, 150)
+    add = streaming._add_batch
+
+    def look(batch, *rest):
+        columns.extend(batch.columns)
+        plans.append(batch._jdf.queryExecution().analyzed().toString())
+        add(batch, *rest)
+
+    monkeypatch.setattr(streaming, "_add_batch", look)
+    stream = stream_pages(spark, files)
+    checkpoint = str(tmp_path / "checkpoint")
+    streaming.start_lead_stream(stream, str(tmp_path / "store"), checkpoint).awaitTermination()
+    assert columns and "html" not in columns and "html" not in plans[0]
