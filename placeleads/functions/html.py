@@ -187,6 +187,14 @@ def has_element(markup: Column, selectors: tuple[Selector, ...]) -> Column:
     return reduce(or_, (F.coalesce(f, F.lit(False)) for f in found))
 
 
+# Counts the pieces of a page up to the one that closes the first tag.
+_START = "struct(0 as depth, 0 as used)"
+_STEP = """(done, piece) -> if(done.used > 0 and done.depth = 0, done, struct(
+    done.depth + case when piece.texts <> '' then 0 when piece.slashes = '/' then -1 else 1 end
+        as depth,
+    done.used + 1 as used))"""
+
+
 def _element_by_depth(markup: Column, selector: Selector) -> Column:
     """Element from its opening tag to the end tag that balances it, without the tags
     of its own name in between."""
@@ -201,22 +209,14 @@ def _element_by_depth(markup: Column, selector: Selector) -> Column:
             F.lit(rf"{_NAME_END}))++)"),
         )
         slashes = F.regexp_extract_all(rest, same_tag, F.lit(1))
-        texts = F.regexp_extract_all(rest, same_tag, F.lit(2))
-        pieces = F.arrays_zip(slashes.alias("slashes"), texts.alias("texts"))
-        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("used"))
-
-        def step(acc: Column, piece: Column) -> Column:
-            change = (
-                F.when(piece["texts"] != "", 0).when(piece["slashes"] == "/", -1).otherwise(1)
-            )
-            return F.when((acc["used"] > 0) & (acc["depth"] == 0), acc).otherwise(
-                F.struct((acc["depth"] + change).alias("depth"), (acc["used"] + 1).alias("used"))
-            )
-
-        used = F.aggregate(pieces, start, step)["used"]
-        return F.when(F.rlike(name, F.lit(rf"^{_VOID}$")), F.lit("")).otherwise(
-            F.array_join(F.slice(texts, F.lit(1), used), "")
-        )
+
+        def join(texts: Column) -> Column:
+            pieces = F.arrays_zip(slashes.alias("slashes"), texts.alias("texts"))
+            used = F.call_function("aggregate", pieces, F.expr(_START), F.expr(_STEP))["used"]
+            return F.array_join(F.slice(texts, F.lit(1), used), "")
+
+        inner = bind(F.regexp_extract_all(rest, same_tag, F.lit(2)), join)
+        return F.when(F.rlike(name, F.lit(rf"^{_VOID}$")), F.lit("")).otherwise(inner)
 
     rest = F.regexp_extract(markup, rf"(?s){_open_tag(selector)}.*+", 0)
     return if_not_empty(_if_mentioned(markup, selector, rest), cut)

@@ -37,7 +37,7 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def if_not_empty(text: Column, use: Callable[[Column], Column] | None = None) -> Column:
     """``use(text)``, or the text itself; null if it is empty or null. Binds the text."""
-    kept = F.filter(F.array(text), lambda t: t != "")
+    kept = F.call_function("filter", F.array(text), F.expr("t -> t <> ''"))
     return F.get(F.transform(kept, use) if use else kept, F.lit(0))
 
 
