@@ -43,16 +43,20 @@ def dedup_by_name(places: DataFrame, order: list[str], run: list[str] | None = N
     return first_wins(with_name_key(places), [*(run or []), "name_key"], order)
 
 
-def first_sightings(places: DataFrame, order: list[str], run: list[str] | None = None) -> DataFrame:
-    """The same, with the fields of the place in the struct ``lead``, which is null if
-    the place is none. A place that cannot be a lead still hides later places of its
-    name, but its key and position are enough for that: its other fields are dropped
-    before the shuffle."""
-    keys = [*order, *(run or [])]
-    fields = [F.col(c) for c in places.columns if c not in keys]
+def slim(places: DataFrame, kept: list[str]) -> DataFrame:
+    """The ``kept`` columns, the name key, and all other fields in the struct ``lead``,
+    which is null if the place cannot be a lead. Such a place still hides later places
+    of its name, but its key and position are enough for that; the rest need not be
+    shuffled."""
+    fields = [F.col(c) for c in places.columns if c not in kept]
     lead = F.when(is_lead(), F.struct(*fields)).alias("lead")
-    slim = with_name_key(places).select(*keys, "name_key", lead)
-    return first_wins(slim, [*(run or []), "name_key"], order)
+    return with_name_key(places).select(*kept, "name_key", lead)
+
+
+def first_sightings(places: DataFrame, order: list[str], run: list[str] | None = None) -> DataFrame:
+    """``dedup_by_name`` on ``slim`` places."""
+    run = run or []
+    return first_wins(slim(places, [*order, *run]), [*run, "name_key"], order)
 
 
 def place_key(place_id: Column, name: Column) -> Column:

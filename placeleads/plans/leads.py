@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placeleads.constants import PLACE_LINK_MARK, SITE_HOST
 from placeleads.functions import url
-from placeleads.operators.dedup import dedup_by_place, first_sightings, first_wins
+from placeleads.operators.dedup import dedup_by_place, first_sightings, first_wins, slim
 from placeleads.operators.enrich import enrich_emails, lookup_emails
 from placeleads.operators.extract import links, place_records, readable_pages
 
@@ -24,24 +24,18 @@ def find_leads(
     lookup_options: dict | None = None,
     **extract_options,
 ) -> DataFrame:
-    """Leads of one search whose place pages were captured in ``order``."""
+    """Leads of one search whose place pages were captured in ``order``; with ``run``,
+    of one search per value of these columns."""
+    order, run = order or ["page_id"], run or []
     places = place_records(readable_pages(pages), **extract_options)
-    return leads_of_places(
-        places, lookup_pages, order=order or ["page_id"], run=run, lookup_options=lookup_options
-    )
+    first = first_sightings(places, order, run).where("lead is not null")
+    leads = first.select(*order, *run, "lead.*").select(*places.columns)
+    return _with_emails(leads, lookup_pages, lookup_options)
 
 
-def leads_of_places(
-    places: DataFrame,
-    lookup_pages: DataFrame | None,
-    *,
-    order: list[str],
-    run: list[str] | None = None,
-    lookup_options: dict | None = None,
+def _with_emails(
+    leads: DataFrame, lookup_pages: DataFrame | None, lookup_options: dict | None
 ) -> DataFrame:
-    """Dedup by name, lead filter and emails, for places read earlier."""
-    first = first_sightings(places, order, run).where("lead is not null")
-    leads = first.select(*order, *(run or []), "lead.*").select(*places.columns)
     if lookup_pages is None:
         return leads
     return enrich_emails(leads, lookup_emails(lookup_pages, **(lookup_options or {})))
@@ -91,8 +85,8 @@ def find_leads_by_plan(
     """Leads of a subdivided search: every location of the plan is a run of its own.
 
     A place page is joined to the links that led to it after it was reduced to its
-    record, one per URL; a URL has one link per location on the other side. Should that
-    still be too many, the adaptive skew join splits them.
+    record, one per URL, or to its name if it cannot be a lead. On the other side a URL
+    has at most one link per location, so no URL is hot.
     """
     sightings = first_link_sightings(searched_links(result_pages, plan, mark), host).select(
         "location", "query_seq", F.col("page_id").alias("result_page_id"), "link_pos", "url"
@@ -101,10 +95,10 @@ def find_leads_by_plan(
     records = place_records(
         readable_pages(target).withColumn("page_url", F.col("url")), **extract_options
     )
-    by_url = first_wins(records, ["page_url"], ["page_id"])
-    places = sightings.join(by_url, sightings["url"] == by_url["page_url"]).drop("url", "page_url")
+    by_url = first_wins(slim(records, ["page_url", "page_id"]), ["page_url"], ["page_id"])
+    visited = sightings.join(by_url, sightings["url"] == by_url["page_url"]).drop("url", "page_url")
     order = ["query_seq", "result_page_id", "link_pos"]
-    leads = leads_of_places(
-        places, lookup_pages, order=order, run=["location"], lookup_options=lookup_options
-    )
-    return dedup_by_place(leads, order, ["location"]).drop("place_key")
+    first = first_wins(visited, ["location", "name_key"], order).where("lead is not null")
+    leads = first.select("location", *order, "page_id", "lead.*")
+    found = _with_emails(leads, lookup_pages, lookup_options)
+    return dedup_by_place(found, order, ["location"]).drop("place_key")
