@@ -61,5 +61,9 @@ DOCUMENT = T.StructType(
 SIGHTING = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("name_key", T.StringType())]
     + PLACE.fields
-    + [T.StructField("batch_id", T.LongType()), T.StructField("is_lead", T.BooleanType())]
+    + [
+        T.StructField("seen_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("is_lead", T.BooleanType()),
+    ]
 )

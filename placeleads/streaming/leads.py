@@ -35,9 +35,9 @@ def read_stream_leads(spark: SparkSession, store: str) -> DataFrame:
 
 
 def stream_totals(spark: SparkSession, store: str) -> DataFrame:
-    """Number of leads so far, and the batch that brought the last one."""
+    """Number of leads so far, and when the last one came."""
     return read_stream_leads(spark, store).agg(
-        F.count("*").alias("total_found"), F.max("batch_id").alias("last_batch")
+        F.count("*").alias("total_found"), F.max("seen_at").alias("last_updated")
     )
 
 
@@ -101,7 +101,8 @@ def _add_batch(batch: DataFrame, batch_id: int, store: str, emails: DataFrame |
         new = new.join(seen.select("name_key"), "name_key", "left_anti")
     if emails is not None:
         new = enrich_emails(new, emails)
-    sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "is_lead")
+    new = new.withColumn("seen_at", F.current_timestamp())
+    sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "seen_at", "is_lead")
     own = f"{store}/sightings/batch_id={batch_id}"
     sightings.write.mode("overwrite").partitionBy("is_lead").parquet(own)
     bad = batch.where("reason is not null").select("page_id", F.col("bad_url").alias("url"), "reason")

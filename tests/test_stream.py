@@ -43,7 +43,8 @@ def test_stream_equals_batch(spark, tmp_path, place_pages):
     assert [p["processed"] for p in progress] == [50, 50, 50]
     assert sum(p["quarantined"] for p in progress) == spark.read.parquet(f"{store}/quarantine").count()
     assert [p["found"] for p in progress] == [n for _, n in batches]
-    assert streaming.stream_totals(spark, store).first()["total_found"] == batch.count()
+    totals = streaming.stream_totals(spark, store).first()
+    assert totals["total_found"] == batch.count() and totals["last_updated"] is not None
     quarantined = spark.read.parquet(f"{store}/quarantine")
     assert quarantined.count() == place_pages.where("url like '%\\%ZZ%'").count() > 0
 
