@@ -13,7 +13,8 @@ from placeleads.constants import (
     Selector,
 )
 from placeleads.functions import contact, html, url
-from placeleads.functions.text import contains_any
+from placeleads.functions.text import bind, contains_any
+from placeleads.operators.dedup import is_lead
 
 MALFORMED_URL = "malformed url"
 MISSING_HTML = "missing html"
@@ -51,46 +52,54 @@ def place_records(
     closed_phrases: tuple[str, ...] = CLOSED_PHRASES,
     blocked_domains: tuple[str, ...] = PAGE_BLOCKED_DOMAINS,
     glue: str = "",
+    for_leads: bool = False,
 ) -> DataFrame:
     """One place per page. Columns other than ``url`` and ``html`` are passed on.
 
     The steps are separate projections: each heavy text is computed once and read by
     the next step, and the HTML itself goes no further than this narrow stage.
+
+    With ``for_leads``, a place that turns out to be no lead keeps its name only: the
+    text of a page with a website is not read, nor are the address, phone and emails
+    of a closed place. Use it where only leads are kept, after a dedup by name.
     """
     kept = [c for c in pages.columns if c not in ("url", "html")]
-    markup = F.col("_markup")
+    markup, text = F.col("_markup"), F.col("_text")
+
+    def needed(condition: Column, value: Column) -> Column:
+        return F.when(condition, value) if for_leads else value
+
     step1 = pages.select(
         *kept,
         url.place_id(F.col("url")).alias("place_id"),
         html.page_markup(F.col("html")).alias("_markup"),
     )
     step2 = step1.select(
-        *kept,
-        "place_id",
+        "*",
         html.trimmed_element_text(markup, selectors["name"]).alias("name"),
-        html.trimmed_element_text(markup, selectors["address"]).alias("address"),
-        F.coalesce(
-            contact.extract_phone(html.element_text(markup, selectors["phone"])),
-            contact.extract_phone(html.element_text(markup, selectors["panel"])),
-        ).alias("phone"),
         html.has_element(markup, selectors["website"]).alias("has_website"),
-        html.text_content(markup, glue).alias("_text"),
     )
-    step3 = step2.withColumns(
-        {
-            "_lower": F.lower("_text"),
-            "emails": contact.extract_emails(F.col("_text"), blocked_domains),
-        }
+    may_be_lead = ~F.col("has_website") & F.col("name").isNotNull()
+    step3 = step2.select(
+        "*", needed(may_be_lead, html.text_content(markup, glue)).alias("_text")
+    )
+    step4 = step3.select(
+        "*", bind(F.lower(text), lambda t: ~contains_any(t, closed_phrases)).alias("is_active")
+    )
+    phone = F.coalesce(
+        contact.extract_phone(html.element_text(markup, selectors["phone"])),
+        contact.extract_phone(html.element_text(markup, selectors["panel"])),
     )
-    return step3.select(
+    address = html.trimmed_element_text(markup, selectors["address"])
+    return step4.select(
         *kept,
         "name",
-        "address",
-        "phone",
-        "emails",
+        needed(is_lead(), address).alias("address"),
+        needed(is_lead(), phone).alias("phone"),
+        needed(is_lead(), contact.extract_emails(text, blocked_domains)).alias("emails"),
         "has_website",
         "place_id",
-        (~contains_any(F.col("_lower"), closed_phrases)).alias("is_active"),
+        "is_active",
     )
 
 

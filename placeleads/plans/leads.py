@@ -27,7 +27,7 @@ def find_leads(
     """Leads of one search whose place pages were captured in ``order``; with ``run``,
     of one search per value of these columns."""
     order, run = order or ["page_id"], run or []
-    places = place_records(readable_pages(pages), **extract_options)
+    places = place_records(readable_pages(pages), for_leads=True, **extract_options)
     first = first_sightings(places, order, run).where("lead is not null")
     leads = first.select(*order, *run, "lead.*").select(*places.columns)
     return _with_emails(leads, lookup_pages, lookup_options)
@@ -92,9 +92,8 @@ def find_leads_by_plan(
         "location", "query_seq", F.col("page_id").alias("result_page_id"), "link_pos", "url"
     )
     target = pages.withColumn("url", url.absolute_url(F.col("url"), host))
-    records = place_records(
-        readable_pages(target).withColumn("page_url", F.col("url")), **extract_options
-    )
+    addressed = readable_pages(target).withColumn("page_url", F.col("url"))
+    records = place_records(addressed, for_leads=True, **extract_options)
     by_url = first_wins(slim(records, ["page_url", "page_id"]), ["page_url"], ["page_id"])
     visited = sightings.join(by_url, sightings["url"] == by_url["page_url"]).drop("url", "page_url")
     order = ["query_seq", "result_page_id", "link_pos"]

@@ -64,7 +64,7 @@ def start_lead_stream(
     """
     reason = quarantine_reason()
     marked = pages.withColumns({"reason": reason, "bad_url": F.when(reason.isNotNull(), F.col("url"))})
-    records = place_records(marked, **extract_options)
+    records = place_records(marked, for_leads=True, **extract_options)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

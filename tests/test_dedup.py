@@ -34,12 +34,21 @@ def test_hot_keys_are_cut_before_the_shuffle(spark, plan_of):
 
 def test_html_is_not_shuffled_and_markup_is_computed_once(spark, plan_of):
     plan = plan_of(find_leads(fixtures.place_pages(spark, SF_DIR)))
-    above_scan = plan[: plan.index("AS _markup")]
-    assert "_markup" not in above_scan.split("Exchange")[0]
+    above_shuffle, below_shuffle = plan.split("Exchange", 1)
+    assert "_markup" not in above_shuffle and "html" not in above_shuffle
     assert plan.count("AS _markup") == 1
-    # The null test on the name stays above the window.
-    below_exchange = plan[plan.index("Exchange") :]
-    assert "isnotnull(name" not in below_exchange.split("_has_key")[-1]
+    # No filter on extracted fields is pushed below the window.
+    filters = [line for line in below_shuffle.splitlines() if "+- Filter" in line]
+    assert not any(field in line for line in filters for field in ("name#", "_markup", "<h1"))
+
+
+def test_fields_for_leads_are_those_of_full_records(spark):
+    pages = readable_pages(fixtures.place_pages(spark, SF_DIR))
+    full = dedup.leads_only(place_records(pages))
+    quick = dedup.leads_only(place_records(pages, for_leads=True))
+    assert sorted(map(str, quick.collect())) == sorted(map(str, full.collect()))
+    hidden = place_records(pages, for_leads=True).where("has_website or name is null")
+    assert hidden.where("phone is not null or address is not null").count() == 0
 
 
 def test_first_sighting_with_a_website_hides_later_ones(spark):
