@@ -7,17 +7,20 @@ that also starts in an earlier document; here it need only be known whether it r
 neighbours; the previous smaller document in that order, if it shares the cut suffix, is the
 earlier match. The steps:
 
-1. Every string of ``length`` bytes is represented by the smallest hash of its ``GRAM``-byte
-   grams, one value for about fourteen positions. Values that only one document has cannot
-   repeat; they are dropped by one sort of ``(value, document)`` pairs.
-2. The documents with values left are cut into segments, runs of positions with one value.
-   In the order of value, segment and document, all but the first document of a segment are
-   removed there, which settles the inside of long matches.
-3. Where one value has several segments (the ends of matches), their suffixes are sorted, and
-   all that follow a smaller document with the same cut suffix are removed.
-
-Only the first document of each distinct segment goes to step 3, so copies cost one row per
-segment, never pairs. Steps 2 and 3 read sorted rows as a stream and keep a few in memory.
+1. Whole copies of a text are found by a 128-bit hash; only the first goes on.
+2. Every string of ``length`` bytes is represented by its ``GRAM``-byte gram with the smallest
+   hash, one for about fourteen positions. Hashes that only one document has cannot repeat;
+   they are dropped by one sort of ``(hash, document)`` pairs.
+3. The documents with hashes left are cut into segments, the strings with one gram. Segments
+   are sorted by the suffix that starts at the gram. All but the first document of a segment
+   are removed there, which settles the inside of long matches. Where a gram has several
+   segments (the ends of matches), the neighbours in this order, and in the order of what
+   stands before the gram, tell the longest factors to the right and to the left.
+4. Strings that these factors allow to repeat are sorted, and all that follow a smaller
+   document with the same cut suffix are removed.
+
+Only the first document of each distinct segment gets to step 4, so copies cost one row per
+segment, never pairs. Steps 2 to 4 read sorted rows as a stream and keep a few in memory.
 Texts are shuffled only of documents that have something in common with others.
 
 Defined results: null and empty texts have no bytes. Documents without an id are kept whole
@@ -28,7 +31,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,37 +57,63 @@ class Minima:
         self.gram = min(GRAM, max(length // 2, 1))
         self.up, self.down = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
-    def _chunk(self, data: np.ndarray) -> np.ndarray:
-        """Minima of all whole strings inside some bytes."""
+    def _hashes(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of all grams of some bytes."""
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
         grams = (sums[self.gram :] - sums[: -self.gram]) * self.down[: len(data) - self.gram + 1]
-        low = grams ^ (grams >> np.uint64(29))
-        low *= np.uint64(_MIX)
-        low ^= low >> np.uint64(32)
+        grams ^= grams >> np.uint64(29)
+        grams *= np.uint64(_MIX)
+        return grams ^ (grams >> np.uint64(32))
+
+    def _least(self, low: np.ndarray) -> np.ndarray:
+        """Smallest hash of the grams of every string."""
         left, width = self.length - self.gram + 1, 1
         while width * 2 <= left:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
         return np.minimum(low[: len(low) - (left - width)], low[left - width :])
 
-    def of(self, text: bytes) -> np.ndarray:
+    def _last_least(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of the smallest gram of every string, the last one of equal grams."""
+        low, place = hashes, np.arange(len(hashes))
+        left, width = self.length - self.gram + 1, 1
+        while width < left:
+            step = min(width, left - width)
+            later = low[step:] <= low[:-step]
+            low = np.where(later, low[step:], low[:-step])
+            place = np.where(later, place[step:], place[:-step])
+            width += step
+        return place
+
+    def _parts(self, text: bytes):
         data = np.frombuffer(text, np.uint8)
         last = len(data) - self.length + 1
-        parts = [
-            self._chunk(data[at : min(at + _CHUNK, last) + self.length - 1])
-            for at in range(0, last, _CHUNK)
-        ]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-
-    def runs(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the runs of equal minima, with the end of the last, and their values."""
-        minima = self.of(text)
-        if not len(minima):
-            return np.zeros(1, np.int64), minima.view(np.int64)
-        change = np.flatnonzero(minima[1:] != minima[:-1]) + 1
-        starts = np.concatenate([[0], change])
-        return np.concatenate([starts, [len(minima)]]), minima[starts].view(np.int64)
+        for at in range(0, last, _CHUNK):
+            yield at, data[at : min(at + _CHUNK, last) + self.length - 1]
+
+    def values(self, text: bytes) -> np.ndarray:
+        """The distinct minima of a text."""
+        found = [self._least(self._hashes(part)) for _, part in self._parts(text)]
+        found = [f[np.concatenate([[True], f[1:] != f[:-1]])] for f in found]
+        return np.unique(np.concatenate(found)).view(np.int64) if found else np.zeros(0, np.int64)
+
+    def segments(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of strings whose last smallest gram is the same: the hash and place of the
+        gram, and the first string of each run and of the one after the last."""
+        hashes, grams = [], []
+        for at, part in self._parts(text):
+            low = self._hashes(part)
+            place = self._last_least(low)
+            hashes.append(low[place])
+            grams.append(place + at)
+        if not grams:
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(1, np.int64)
+        places = np.concatenate(grams)
+        starts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
+        bounds = np.concatenate([starts, [len(places)]])
+        return np.concatenate(hashes)[starts].view(np.int64), places[starts], bounds
 
 
 def _values(texts: DataFrame, length: int) -> DataFrame:
@@ -94,7 +122,7 @@ def _values(texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         minima = Minima(length)
         for batch in batches:
-            found = [np.unique(minima.runs(t.as_py())[1]) for t in batch.column("text")]
+            found = [minima.values(t.as_py()) for t in batch.column("text")]
             rows = np.repeat(np.array(batch.column("row")), [len(f) for f in found])
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(rows)], ["value", "row"])
@@ -128,27 +156,26 @@ def _shared(values: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "value bigint, row bigint")
 
 
-_SEGMENT = "value bigint, x1 bigint, x2 bigint, doc bigint, row bigint, start int, content binary"
+_SEGMENT = "value bigint, after binary, before binary, doc bigint, row bigint, gram int"
 
 
 def _segments(texts: DataFrame, length: int) -> DataFrame:
-    """Segments of the documents at their shared values."""
+    """Segments of the documents at their shared values: the bytes from the gram on, the bytes
+    before it from its side outwards, and the place of the gram."""
 
     def run(batches):
         minima = Minima(length)
         for batch in batches:
             rows = []
             for row, doc, text, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                bounds, values = minima.runs(text)
+                values, grams, bounds = minima.segments(text)
                 hit = np.flatnonzero(np.isin(values, np.array(shared, np.int64)))
-                for value, start, stop in zip(
-                    values[hit].tolist(), bounds[hit].tolist(), bounds[hit + 1].tolist(), strict=True
-                ):
-                    content = text[start : stop + length - 1]
-                    key = xxhash.xxh3_128_digest(content)
-                    x1 = int.from_bytes(key[:8], "little", signed=True)
-                    x2 = int.from_bytes(key[8:], "little", signed=True)
-                    rows.append((value, x1, x2, doc, row, start, content))
+                for value, gram, start, stop in zip(
+                    values[hit].tolist(), grams[hit].tolist(), bounds[hit].tolist(),
+                    bounds[hit + 1].tolist(), strict=True,
+                ):
+                    after = text[gram : stop + length - 1]
+                    rows.append((value, after, text[start:gram][::-1], doc, row, gram))
             yield _batch(rows, _SEGMENT)
 
     return texts.select("row", "doc", "text", "shared").mapInArrow(run, _SEGMENT)
@@ -164,45 +191,90 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     )
 
 
-_FOUND = "doc bigint, row bigint, start int, stop int, suffix binary"
+def _common(a: bytes, b: bytes) -> int:
+    """Length of the common beginning."""
+    size = min(len(a), len(b))
+    if a[:size] == b[:size]:
+        return size
+    low, high = 0, size - 1
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[:middle] == b[:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
 
 
-def _settle(segments: DataFrame, length: int) -> DataFrame:
-    """Removed ranges (no suffix), and cut suffixes still to be compared."""
+_HEAD = f"{_SEGMENT}, right int"
+_FOUND = "doc bigint, row bigint, start int, stop int, suffix binary"
 
-    def run(batches):
-        value = first = content = None
-        several = False
-        pending: list[tuple] = []  # of the first document of a value's first segment
 
-        def suffixes(doc, row, start, content):
-            for i in range(len(content) - length + 1):
-                yield doc, row, start + i, start + i + length, content[i : i + length]
+def _first_of_segments(segments: DataFrame) -> DataFrame:
+    """In suffix order: of each distinct segment the rows of its first document, if its gram
+    has other segments, with the longest factor to the right that another segment has; and
+    the rows of later documents, which have no factor."""
 
+    def run(batches):
+        value = key = first = None
+        held: list[tuple] = []  # rows of the first document of the segment at hand
+        reach = -1  # longest factor with the segment before; -1 if it is the gram's first
         for batch in batches:
             out: list[tuple] = []
-            for v, x1, x2, doc, row, start, text in zip(
-                *(c.to_pylist() for c in batch.columns), strict=True
-            ):
-                if v != value:
-                    value, several, pending = v, False, []
-                    content, first = (x1, x2), doc
-                elif (x1, x2) != content:
-                    content, first = (x1, x2), doc
-                    several = True
-                    for held in pending:
-                        out.extend(suffixes(*held))
-                    pending = []
+            for each in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                v, after, before, doc = each[:4]
+                if v != value or (after, before) != key:
+                    common = _common(after, key[0]) if v == value else -1
+                    right = max(reach, common)
+                    if right >= 0:
+                        out += [(*h, right) for h in held]
+                    value, key, first, held, reach = v, (after, before), doc, [], common
                 if doc > first:
-                    out.append((doc, row, start, start + len(text), None))
-                elif several:
-                    out.extend(suffixes(doc, row, start, text))
+                    out.append((*each, None))
                 else:
-                    pending.append((doc, row, start, text))
+                    held.append(each)
+            yield _batch(out, _HEAD)
+        if reach >= 0:
+            yield _batch([(*h, reach) for h in held], _HEAD)
+
+    ordered = segments.repartition("value").sortWithinPartitions("value", "after", "before", "doc")
+    return ordered.mapInArrow(run, _HEAD)
+
+
+def _settled(heads: DataFrame, length: int) -> DataFrame:
+    """Removed ranges (no suffix), and the cut suffixes that factors to the left, found in the
+    order of what is before the gram, and to the right allow to repeat."""
+
+    def run(batches):
+        held: tuple | None = None  # the row whose next neighbour is not known yet
+        reach = -1  # longest factor with the neighbour before
+
+        def suffixes(row: tuple, left: int):
+            _, after, before, doc, key, gram, right = row
+            text = before[::-1] + after
+            base = gram - len(before)
+            low = len(before) - left if left >= 0 else len(text)
+            high = min(len(text), len(before) + right) - length
+            for i in range(low, high + 1):
+                yield doc, key, base + i, base + i + length, text[i : i + length]
+
+        for batch in batches:
+            out: list[tuple] = []
+            for each in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                value, after, before, doc, key, gram, right = each
+                if right is None:
+                    out.append((doc, key, gram - len(before), gram + len(after), None))
+                    continue
+                same = held is not None and held[0] == value
+                common = _common(before, held[2]) if same else -1
+                if held:
+                    out += suffixes(held, max(reach, common))
+                held, reach = each, common
             yield _batch(out, _FOUND)
+        if held:
+            yield _batch(list(suffixes(held, reach)), _FOUND)
 
-    ordered = segments.repartition("value").sortWithinPartitions("value", "x1", "x2", "doc")
-    return ordered.mapInArrow(run, _FOUND)
+    return heads.sortWithinPartitions("value", "before").mapInArrow(run, _FOUND)
 
 
 def _earlier(suffixes: DataFrame) -> DataFrame:
@@ -250,14 +322,30 @@ def remove_repeats(
         F.col(f"`{text}`").cast("binary").alias("text"),
     )
     known = rows.where("doc is not null")
+    hashed = known.where(F.octet_length("text") >= length).select(
+        "doc", "row", F.md5("text").alias("copy"), F.octet_length("text").alias("size")
+    )
+    firsts = (
+        hashed.groupBy("copy").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    ).where("first < last")
+    copies = cut_lineage(
+        hashed.join(cut_lineage(firsts, "first-copies"), "copy")
+        .where("doc > first")
+        .select("row", "doc", F.lit(0).alias("start"), F.col("size").alias("stop"))
+        .distinct(),
+        "copies",
+    )
+    maybe, single = split_by_key(known, "row", copies)
+    known = single.union(maybe.join(copies.select("row"), "row", "left_anti").select(known.columns))
     shared = cut_lineage(
         _shared(_values(known, length)).groupBy("row").agg(F.collect_list("value").alias("shared")),
         "shared-values",
     )
     some, _ = split_by_key(known, "row", shared)
-    found = cut_lineage(_settle(_segments(some.join(shared, "row"), length), length), "factors")
+    heads = _first_of_segments(_segments(some.join(shared, "row"), length))
+    found = cut_lineage(_settled(heads, length), "factors")
     settled = found.where("suffix is null").drop("suffix")
-    later = settled.union(_earlier(found.where("suffix is not null")))
+    later = settled.union(_earlier(found.where("suffix is not null"))).unionByName(copies)
     ranges = cut_lineage(
         later.groupBy("row").agg(F.collect_list(F.struct("doc", "start", "stop")).alias("ranges")),
         "ranges",

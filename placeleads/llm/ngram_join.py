@@ -5,9 +5,11 @@ the corpus, then by hash. Rare n-grams come first. The steps:
 
 1. Documents with equal n-gram sets form a class; only classes are joined.
 2. Candidates: two sets as similar as asked share an n-gram among the first few of their
-   order (prefix). Per shared n-gram all its classes are paired with one leader; classes that
-   links have brought into one component need no pair with each other. Pairs of different
-   components that share an n-gram are then tried one by one.
+   order (prefix). Up to their first common n-gram they have nothing in common, so the places
+   of that n-gram in both orders bound the overlap; only pairs that the bound allows count.
+   Per shared n-gram all its classes are paired with one leader, the one that has it
+   earliest; classes that links have brought into one component need no pair with each
+   other. Pairs of different components are then tried one by one.
 3. A pair goes on only if parity sketches allow it: the bits in which two sketches differ
    are at most the n-grams in which the sets differ, so no link is lost.
 4. The global order is cut into ``FRAGMENTS`` pieces. Overlaps are counted per pair and
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeleads.llm.common import cut_lineage
+from placeleads.llm.common import cut_lineage, split_by_key
 from placeleads.llm.components import components
 
 BUCKET_BITS = 20
@@ -159,29 +161,32 @@ def _global_order(histogram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(texts: DataFrame, ranks, size: int, percent: int) -> DataFrame:
-    """The first n-grams of every set: ``(token, k1)``."""
+    """The first n-grams of every set with their places: ``(token, k1, n, place)``."""
 
     def run(batches):
         rank = ranks.value[0]
         for batch in batches:
-            tokens, keys, counts = [], [], []
+            tokens, keys, sizes, counts = [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = ngrams(text, size)
                 if len(grams):
                     first = len(grams) - (percent * len(grams) + 99) // 100 + 1
                     tokens.append(grams[np.lexsort((grams, rank[_bucket(grams)]))[:first]])
                     keys.append(_class_key(grams)[0])
+                    sizes.append(len(grams))
                     counts.append(first)
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(tokens).view(np.int64)),
                         pa.array(np.repeat(np.array(keys, np.int64), counts)),
+                        pa.array(np.repeat(np.array(sizes, np.int32), counts)),
+                        pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in counts])),
                     ],
-                    ["token", "k1"],
+                    ["token", "k1", "n", "place"],
                 )
 
-    return texts.select("text").mapInArrow(run, "token bigint, k1 bigint")
+    return texts.select("text").mapInArrow(run, "token bigint, k1 bigint, n int, place int")
 
 
 def _pieces(texts: DataFrame, ranks, size: int) -> DataFrame:
@@ -214,16 +219,28 @@ def _pieces(texts: DataFrame, ranks, size: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, schema)
 
 
+def _least_overlap(percent: int) -> Column:
+    """What sets of ``na`` and ``nb`` n-grams must share: the least ``o`` for which
+    ``100 * o >= percent * (na + nb - o)``."""
+    total = (F.col("na") + F.col("nb")).cast("long")
+    return F.floor((total * percent + (99 + percent)) / (100 + percent))
+
+
+def _allowed(percent: int) -> Column:
+    """False if a common n-gram cannot be the first one of a link."""
+    least = _least_overlap(percent)
+    return (F.col("na") - F.col("aplace") >= least) & (F.col("nb") - F.col("bplace") >= least)
+
+
 def _may_link(percent: int) -> Column:
-    """False if sizes or sketches rule a link out. A link needs ``100 * o >= percent *
-    (na + nb - o)`` for the overlap ``o``; the sets then differ in ``na + nb - 2 * o``."""
-    total = F.col("na") + F.col("nb")
-    least = F.ceil(total * percent / (100 + percent))
+    """False if sizes or sketches rule a link out. With an overlap of ``o`` the sets differ
+    in ``na + nb - 2 * o`` n-grams."""
+    least = _least_overlap(percent)
     bits = sum(
         (F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_WORDS)),
         F.lit(0),
     )
-    return (F.least("na", "nb") >= least) & (bits <= total - 2 * least)
+    return (F.least("na", "nb") >= least) & (bits <= F.col("na") + F.col("nb") - 2 * least)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts, ranks, size, percent) -> DataFrame:
@@ -243,7 +260,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts, ranks, size, percent)
         "near-pairs",
     )
     wanted = near.select(F.explode(F.array("anode", "bnode")).alias("doc")).distinct()
-    pieces = _pieces(texts.join(wanted, "doc", "left_semi"), ranks, size).dropDuplicates(
+    wanted = cut_lineage(wanted.withColumn("key", F.xxhash64("doc")), "wanted")
+    some, _ = split_by_key(texts.withColumn("key", F.xxhash64("doc")), "key", wanted)
+    pieces = _pieces(some.join(wanted, "doc", "left_semi"), ranks, size).dropDuplicates(
         ["k1", "k2", "fragment"]
     )
     pieces = cut_lineage(pieces, "pieces")
@@ -283,41 +302,54 @@ def join_ngrams(
         "classes",
     )
     prefixes = cut_lineage(_prefixes(texts, ranks, size, percent), "prefixes")
+    # place and key as one number, so that the smallest is found before the shuffle
+    order = F.call_function(
+        "shiftleft", F.least("place", F.lit(1023)).cast("long"), F.lit(53)
+    ) + F.shiftrightunsigned("k1", 11)
+    prefixes = prefixes.withColumn("order", order)
     leaders = cut_lineage(
         prefixes.groupBy("token")
-        .agg(F.min("k1").alias("a"), F.max("k1").alias("last"))
-        .where("a <> last")
-        .select("token", "a"),
+        .agg(F.min("order").alias("lead"), F.max("order").alias("last"))
+        .where("lead <> last")
+        .select("token", "lead"),
         "leaders",
     )
     shared = cut_lineage(
-        prefixes.join(leaders, "token").select("token", "a", F.col("k1").alias("b")).distinct(),
+        prefixes.join(leaders, "token")
+        .select("token", "k1", "n", "place", (F.col("order") == F.col("lead")).alias("leads"))
+        .distinct(),
         "shared-ngrams",
     )
-    stars = shared.where("a <> b").select("a", "b").distinct()
+    first = shared.where("leads").toDF("token", "a", "na", "aplace", "leads").drop("leads")
+    others = shared.where("not leads").toDF("token", "b", "nb", "bplace", "leads").drop("leads")
+    stars = first.join(others, "token").where(_allowed(percent)).select("a", "b").distinct()
     links = cut_lineage(_verified(stars, classes, texts, ranks, size, percent), "star-links")
     groups = components(links)
 
-    # n-grams whose classes are in several components, and not only the leader and one other
+    # n-grams whose classes, the leader aside, are in several components
     nodes = classes.select(F.col("k1").alias("b"), "node")
-    places = (
-        shared.join(nodes, "b")
+    places = cut_lineage(
+        others.join(nodes, "b")
         .join(groups.toDF("node", "top"), "node", "left")
-        .select("token", "a", "b", F.coalesce("top", "node").alias("top"))
+        .select("token", "b", "nb", "bplace", F.coalesce("top", "node").alias("btop")),
+        "places",
     )
-    places = cut_lineage(places, "places")
-    others = places.where("a <> b")
     open_tokens = (
-        others.groupBy("token")
-        .agg(F.min("top").alias("low"), F.max("top").alias("high"))
+        places.groupBy("token")
+        .agg(F.min("btop").alias("low"), F.max("btop").alias("high"))
         .where("low <> high")
         .select("token")
     )
-    rest = cut_lineage(others.join(open_tokens, "token").select("token", "b", "top"), "open")
+    rest = cut_lineage(places.join(open_tokens, "token"), "open")
+    # the smaller set of a pair must have the n-gram so early that sets of its size allow it
+    smaller = rest.toDF("token", "a", "na", "aplace", "atop").where(
+        (F.col("na") - F.col("aplace")) * (100 + percent) >= F.col("na") * 2 * percent
+    )
     pairs = (
-        rest.toDF("token", "a", "atop")
-        .join(rest.toDF("token", "b", "btop"), "token")
-        .where("a < b and atop <> btop")
+        smaller.join(rest, "token")
+        .where("na < nb or (na = nb and a < b)")
+        .where("atop <> btop")
+        .where(_allowed(percent))
         .select("a", "b")
         .distinct()
     )
