@@ -16,6 +16,7 @@ earlier match. The steps:
    are removed there, which settles the inside of long matches. Where a gram has several
    segments (the ends of matches), the neighbours in this order, and in the order of what
    stands before the gram, tell the longest factors to the right and to the left.
+   Grams with a few first documents are settled there and then.
 4. Strings that these factors allow to repeat are sorted, and all that follow a smaller
    document with the same cut suffix are removed.
 
@@ -38,6 +39,7 @@ from placeleads.llm.common import add_columns, cut_lineage, split_by_key
 
 LENGTH = 50
 GRAM = 24
+FEW = 256  # first rows of a gram that are compared at once
 _CHUNK = 1 << 16
 _BASE = 0x5851F42D4C957F2D
 _MIX = 0x9E3779B97F4A7C15
@@ -206,36 +208,81 @@ def _common(a: bytes, b: bytes) -> int:
     return low
 
 
-_HEAD = f"{_SEGMENT}, right int"
+_HEAD = f"{_SEGMENT}, right int, stop int"
 _FOUND = "doc bigint, row bigint, start int, stop int, suffix binary"
 
 
-def _first_of_segments(segments: DataFrame) -> DataFrame:
+def _few(rows: list[tuple], length: int) -> list[tuple]:
+    """Removed ranges among a few segments of one gram: strings that an earlier document of
+    theirs has."""
+    first: dict[bytes, int] = {}
+    texts = [(before[::-1] + after, doc) for _, after, before, doc, _, _ in rows]
+    for text, doc in texts:
+        for i in range(len(text) - length + 1):
+            w = text[i : i + length]
+            if first.get(w, doc) >= doc:
+                first[w] = doc
+    out = []
+    for (text, doc), (value, _, before, _, row, gram) in zip(texts, rows, strict=True):
+        base, start = gram - len(before), None
+        for i in range(len(text) - length + 2):
+            inside = i <= len(text) - length and first[text[i : i + length]] < doc
+            if inside and start is None:
+                start = i
+            elif not inside and start is not None:
+                stop = base + i - 1 + length
+                out.append((value, None, None, doc, row, base + start, None, stop))
+                start = None
+    return out
+
+
+def _first_of_segments(segments: DataFrame, length: int) -> DataFrame:
     """In suffix order: of each distinct segment the rows of its first document, if its gram
     has other segments, with the longest factor to the right that another segment has; and
-    the rows of later documents, which have no factor."""
+    removed ranges, which have a stop: the segments of later documents, and all that can be
+    settled here because a gram has at most ``FEW`` first rows."""
 
     def run(batches):
         value = key = first = None
         held: list[tuple] = []  # rows of the first document of the segment at hand
         reach = -1  # longest factor with the segment before; -1 if it is the gram's first
+        few: list[tuple] | None = []  # first rows of the gram; none if they are too many
+        waiting: list[tuple] = []  # the same with their factors, as long as they are few
+
+        def end_segment(common: int) -> list[tuple]:
+            nonlocal few, waiting
+            right, out = max(reach, common), []
+            rows = [(*h, right, None) for h in held]
+            if few is None:
+                return rows
+            waiting += rows
+            few += held
+            if len(few) > FEW:
+                out, few, waiting = waiting, None, []
+            return out
+
+        def end_gram() -> list[tuple]:
+            out = end_segment(-1)
+            return out + (_few(few, length) if few and few[0][1:3] != few[-1][1:3] else [])
+
         for batch in batches:
             out: list[tuple] = []
             for each in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                v, after, before, doc = each[:4]
-                if v != value or (after, before) != key:
-                    common = _common(after, key[0]) if v == value else -1
-                    right = max(reach, common)
-                    if right >= 0:
-                        out += [(*h, right) for h in held]
-                    value, key, first, held, reach = v, (after, before), doc, [], common
+                v, after, before, doc, row, gram = each
+                if v != value:
+                    out += end_gram()
+                    value, key, first, held, reach = v, (after, before), doc, [], -1
+                    few, waiting = [], []
+                elif (after, before) != key:
+                    common = _common(after, key[0])
+                    out += end_segment(common)
+                    key, first, held, reach = (after, before), doc, [], common
                 if doc > first:
-                    out.append((*each, None))
+                    out.append((v, None, None, doc, row, gram - len(before), None, gram + len(after)))
                 else:
                     held.append(each)
             yield _batch(out, _HEAD)
-        if reach >= 0:
-            yield _batch([(*h, reach) for h in held], _HEAD)
+        yield _batch(end_gram(), _HEAD)
 
     ordered = segments.repartition("value").sortWithinPartitions("value", "after", "before", "doc")
     return ordered.mapInArrow(run, _HEAD)
@@ -250,7 +297,7 @@ def _settled(heads: DataFrame, length: int) -> DataFrame:
         reach = -1  # longest factor with the neighbour before
 
         def suffixes(row: tuple, left: int):
-            _, after, before, doc, key, gram, right = row
+            _, after, before, doc, key, gram, right, _ = row
             text = before[::-1] + after
             base = gram - len(before)
             low = len(before) - left if left >= 0 else len(text)
@@ -261,9 +308,9 @@ def _settled(heads: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for each in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                value, after, before, doc, key, gram, right = each
-                if right is None:
-                    out.append((doc, key, gram - len(before), gram + len(after), None))
+                value, _, before, doc, key, gram, _, stop = each
+                if stop is not None:
+                    out.append((doc, key, gram, stop, None))
                     continue
                 same = held is not None and held[0] == value
                 common = _common(before, held[2]) if same else -1
@@ -297,15 +344,14 @@ def _earlier(suffixes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "doc bigint, row bigint, start int, stop int")
 
 
-def _cut(text: bytes | None, ranges: list[dict] | None, doc: int | None) -> tuple[bytes, int, int]:
-    """What is left of a text, the bytes removed and the removed runs."""
+def _cut(text: bytes | None, ranges: np.ndarray) -> tuple[bytes, int, int]:
+    """What is left of a text, the bytes removed and the removed runs. A range is a number of
+    which the upper half is the start and the lower half the stop."""
     text = text or b""
-    own = [r for r in ranges or [] if r["doc"] == doc and r["stop"] <= len(text)]
-    if not own:
+    if not len(ranges):
         return text, 0, 0
-    steps = np.zeros(len(text) + 1, np.int32)
-    np.add.at(steps, [r["start"] for r in own], 1)
-    np.add.at(steps, [r["stop"] for r in own], -1)
+    size = len(text) + 1
+    steps = np.bincount(ranges >> 32, minlength=size) - np.bincount(ranges & 0xFFFFFFFF, minlength=size)
     gone = np.cumsum(steps) > 0  # the last entry is past the text and never covered
     runs = int(np.count_nonzero(gone[:-1] & ~gone[1:]))
     return np.frombuffer(text, np.uint8)[~gone[:-1]].tobytes(), int(gone.sum()), runs
@@ -342,19 +388,22 @@ def remove_repeats(
         "shared-values",
     )
     some, _ = split_by_key(known, "row", shared)
-    heads = _first_of_segments(_segments(some.join(shared, "row"), length))
+    heads = _first_of_segments(_segments(some.join(shared, "row"), length), length)
     found = cut_lineage(_settled(heads, length), "factors")
     settled = found.where("suffix is null").drop("suffix")
     later = settled.union(_earlier(found.where("suffix is not null"))).unionByName(copies)
+    packed = F.call_function("shiftleft", F.col("start").cast("long"), F.lit(32)) + F.col("stop")
     ranges = cut_lineage(
-        later.groupBy("row").agg(F.collect_list(F.struct("doc", "start", "stop")).alias("ranges")),
-        "ranges",
+        later.groupBy("row", "doc").agg(F.collect_list(packed).alias("ranges")), "ranges"
     )
     touched, whole = split_by_key(rows, "row", ranges)
 
     def cut(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        columns = (batch.column(c).to_pylist() for c in ("text", "ranges", "doc"))
-        done = [_cut(*each) for each in zip(*columns, strict=True)]
+        none = np.zeros(0, np.int64)
+        done = [
+            _cut(text.as_py(), np.asarray(r.values) if r.is_valid else none)
+            for text, r in zip(batch.column("text"), batch.column("ranges"), strict=True)
+        ]
         return {
             "kept": pa.array([d[0] for d in done], pa.binary()),
             "n_removed": pa.array([d[1] for d in done], pa.int64()),
@@ -362,7 +411,7 @@ def remove_repeats(
         }
 
     added = "kept binary;n_removed bigint;n_spans bigint"
-    changed = add_columns(touched.join(ranges, "row", "left"), cut, added)
+    changed = add_columns(touched.join(ranges, ["row", "doc"], "left"), cut, added)
     none = F.lit(0).cast("long")
     same = whole.select(
         "*", F.coalesce("text", F.lit(b"")).alias("kept"), none.alias("n_removed"), none.alias("n_spans")

@@ -30,6 +30,8 @@ component without any id has a null name. Rows with the same id are one node.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from placeleads.llm.common import cut_lineage, split_by_key
 from placeleads.llm.components import components
 
-BUCKET_BITS = 20
+BUCKET_BITS = 22
 FRAGMENTS = 8
 SKETCH_WORDS = 8
 _BLOCKS = 64
@@ -114,7 +116,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
                 [
                     *nothing,
                     pa.array(range(_BLOCKS), pa.int32()),
-                    pa.array([p.astype(np.uint32).tobytes() for p in parts], pa.binary()),
+                    pa.array([zlib.compress(p.astype(np.uint32), 1) for p in parts], pa.binary()),
                 ],
                 [*names, "block", "counts"],
             )
@@ -130,12 +132,12 @@ def _histogram(sets: DataFrame) -> np.ndarray:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(*batch.columns, strict=True):
-                part = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+                part = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint32).astype(np.int64)
                 totals[block.as_py()] = totals.get(block.as_py(), 0) + part
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(totals, pa.int32()),
-                pa.array([t.tobytes() for t in totals.values()], pa.binary()),
+                pa.array([zlib.compress(t, 1) for t in totals.values()], pa.binary()),
             ],
             ["block", "counts"],
         )
@@ -143,7 +145,7 @@ def _histogram(sets: DataFrame) -> np.ndarray:
     parts = sets.where("block is not null").select("block", "counts").repartition("block")
     total = np.zeros((_BLOCKS, (1 << BUCKET_BITS) // _BLOCKS), np.int64)
     for row in parts.mapInArrow(add, "block int, counts binary").collect():
-        total[row["block"]] = np.frombuffer(row["counts"], np.int64)
+        total[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     return total.reshape(-1)
 
 
@@ -190,33 +192,27 @@ def _prefixes(texts: DataFrame, ranks, size: int, percent: int) -> DataFrame:
 
 
 def _pieces(texts: DataFrame, ranks, size: int) -> DataFrame:
-    """The sets, cut at the global order: ``(k1, k2, fragment, grams)``."""
+    """The sets, cut at the global order: ``(node, k1, k2, fragment, grams)``."""
 
     def run(batches):
         fragment = ranks.value[1]
         for batch in batches:
-            k1, k2, piece, grams_in = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            rows = []
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 grams = ngrams(text, size)
-                a, b = _class_key(grams)
+                key = _class_key(grams)
                 of = fragment[_bucket(grams)]
                 for f in np.unique(of).tolist():
-                    k1.append(a)
-                    k2.append(b)
-                    piece.append(f)
-                    grams_in.append(grams[of == f].view(np.int64))
+                    rows.append((doc, *key, f, grams[of == f].view(np.int64)))
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in range(5)]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(k1, pa.int64()),
-                    pa.array(k2, pa.int64()),
-                    pa.array(piece, pa.int32()),
-                    pa.array(grams_in, pa.list_(pa.int64())),
-                ],
-                ["k1", "k2", "fragment", "grams"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["node", "k1", "k2", "fragment", "grams"],
             )
 
-    schema = "k1 bigint, k2 bigint, fragment int, grams array<bigint>"
-    return texts.select("text").mapInArrow(run, schema)
+    schema = "node bigint, k1 bigint, k2 bigint, fragment int, grams array<bigint>"
+    return texts.select("doc", "text").mapInArrow(run, schema)
 
 
 def _least_overlap(percent: int) -> Column:
@@ -260,20 +256,21 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts, ranks, size, percent)
         "near-pairs",
     )
     wanted = near.select(F.explode(F.array("anode", "bnode")).alias("doc")).distinct()
-    wanted = cut_lineage(wanted.withColumn("key", F.xxhash64("doc")), "wanted")
+    wanted = wanted.select(F.xxhash64("doc").alias("key"))
     some, _ = split_by_key(texts.withColumn("key", F.xxhash64("doc")), "key", wanted)
-    pieces = _pieces(some.join(wanted, "doc", "left_semi"), ranks, size).dropDuplicates(
-        ["k1", "k2", "fragment"]
-    )
-    pieces = cut_lineage(pieces, "pieces")
+    pieces = cut_lineage(_pieces(some, ranks, size), "pieces")
 
     def piece(x: str) -> DataFrame:
-        return pieces.toDF(x, f"{x}k2", "fragment", f"{x}grams")
+        return pieces.toDF(f"{x}node", x, f"{x}k2", "fragment", f"{x}grams")
 
-    each = near.join(piece("a"), ["a", "ak2"]).join(piece("b"), ["b", "bk2", "fragment"])
+    each = near.join(piece("a"), ["a", "ak2", "anode"]).join(
+        piece("b"), ["b", "bk2", "bnode", "fragment"]
+    )
     shared = F.size(F.array_intersect("agrams", "bgrams")).alias("shared")
+    # the largest of equal rows: an id may have the same text twice
+    once = each.select(*columns, "fragment", shared).groupBy(*columns, "fragment")
     total = (
-        each.select(*columns, shared)
+        once.agg(F.max("shared").alias("shared"))
         .groupBy(*columns)
         .agg(F.sum("shared").alias("o"))
         .where(F.col("o") * 100 >= (F.col("na") + F.col("nb") - F.col("o")) * percent)
