@@ -293,19 +293,20 @@ class Lattice:
         """Per text: pieces (one row for all, and where each text's begin), score, and the
         next best segmentations as changes of the best: each replaces the pieces from
         ``start`` to ``stop`` of the best by ``ids``."""
-        number: dict[str, int] = {}
-        places, counts = [], [0]
+        every: list[str] = []
+        counts = [0]
         for text in texts:
             found = self._word.findall(SPACE_MARK + text.replace(" ", SPACE_MARK)) if text else []
-            places += [number.setdefault(w, len(number)) for w in found]
+            every += found
             counts.append(len(found))
-        words, at = list(number), np.array(places, np.int64)
+        words = list(dict.fromkeys(every))
+        number = dict(zip(words, range(len(words)), strict=True))
+        at = np.fromiter(map(number.__getitem__, every), np.int64, len(every))
         bounds = np.cumsum(counts)
         best, loss, row, first, count = self.segment(words)
         size = count[at]
         ends = np.concatenate([[0], np.cumsum(size)])
-        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
-        ids = row[np.repeat(first[at], size) + inside]
+        ids = row[np.repeat(first[at] - ends[:-1], size) + np.arange(ends[-1])]
         sums = np.concatenate([[0.0], np.cumsum(best[at])])
         scores = (sums[bounds[1:]] - sums[bounds[:-1]]).tolist()
         others = []
