@@ -16,8 +16,7 @@ without a piece are passed one by one.
 The vocabulary file is an input that is only read. As in SentencePiece, a space becomes the
 space mark, one is put in front of the text, and a character without a piece costs the lowest
 score less ten and is written as its bytes. Scores are whole numbers in the vocabulary at
-hand, so sums are exact. Of equal scores the best path has the longer last pieces, the others
-follow in the order of their piece numbers.
+hand, so sums are exact. Equal scores have a fixed order.
 
 Defined results: a null text has null pieces, an empty text has none (nothing is put in front
 of it) and one segmentation of score 0. A text has as many alternatives as there are paths if
@@ -223,17 +222,23 @@ class Lattice:
         for start in range(len(text)):
             for end, gain, piece in self._edges(text, start):
                 into[end].append((start, gain, piece))
-        queue = [(-best[-1], (), len(text), 0.0)]
+        # Of equal states the one nearest to the start goes first, so ties cost no detours; no
+        # place is on more than the first n of the paths that pass it.
+        queue = [(-best[-1], len(text), 0, (), 0.0)]
+        visits, number = [0] * (len(text) + 1), 0
         found: list[tuple[float, list[int]]] = []
         while queue and len(found) < n:
-            total, after, place, score = heapq.heappop(queue)
+            total, place, _, after, score = heapq.heappop(queue)
             if not place:
                 found.append((-total, self._written(text, after)))
                 continue
+            visits[place] += 1
+            if visits[place] > n:
+                continue
             for start, gain, piece in into[place]:
-                rest = score + gain
+                rest, number = score + gain, number + 1
                 node = (piece, place - start, after)
-                heapq.heappush(queue, (-(rest + best[start]), node, start, rest))
+                heapq.heappush(queue, (-(rest + best[start]), start, number, node, rest))
         return found
 
     def _written(self, text: str, path: tuple) -> list[int]:
