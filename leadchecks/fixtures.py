@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from placeleads.constants import CATEGORIES
-from placeleads.sources.pages import spread
 
 # Schemas of the given tables that the derived ones and the queries read.
 SCHEMAS = {
@@ -151,7 +150,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    customer = spread(table(spark, sf_dir, "customer"))
+    customer = table(spark, sf_dir, "customer")
     return spark.sql(sql, customer=customer, nation=table(spark, sf_dir, "nation"))
 
 

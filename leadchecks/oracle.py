@@ -12,7 +12,7 @@ from placeleads import constants as c
 from placeleads.functions.text import web_space
 
 _TABLES = {"customer": "customer", "nation": "nation"}
-_EMAIL = f"[{c.EMAIL_LOCAL}]+@[{c.EMAIL_DOMAIN}]+{c.EMAIL_END}"
+_EMAIL = c.EMAIL
 
 
 def _has_any(text: str, parts) -> str:

@@ -27,11 +27,11 @@ DOMAIN_END = r"^[a-z]+://[^/]*\.([a-z]+)/"
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_source.spread(page_source.read_pages(spark, f"{sf_dir}/pages.parquet"))
+    return page_source.read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_source.spread(fixtures.table(spark, sf_dir, "documents"))
+    return fixtures.table(spark, sf_dir, "documents")
 
 
 def _flat(df: DataFrame) -> DataFrame:

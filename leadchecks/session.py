@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +19,7 @@ def local_session(name: str, cores: str | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="placeleads-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -96,10 +96,9 @@ PHONE_PATTERNS = (
 )
 MIN_PHONE_DIGITS = 7
 
-# Character classes of an email address (local part, domain, end).
+# An email address, and the character class of its local part.
+EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
 EMAIL_LOCAL = r"a-zA-Z0-9._%+-"
-EMAIL_DOMAIN = r"a-zA-Z0-9.-"
-EMAIL_END = r"\.[a-zA-Z]{2,}"
 
 
 @dataclass(frozen=True)

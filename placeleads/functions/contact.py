@@ -6,8 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeleads.constants import (
-    EMAIL_DOMAIN,
-    EMAIL_END,
+    EMAIL,
     EMAIL_LOCAL,
     LOOKUP_BLOCKED_DOMAINS,
     MIN_PHONE_DIGITS,
@@ -23,7 +22,7 @@ _ENOUGH_DIGITS = rf"(?s)^(?:\D*+\d){{{MIN_PHONE_DIGITS}}}.*+\z"
 # previous match. Same matches as the plain pattern, but a long run without an
 # ``@`` is read once instead of once per character.
 _EMAIL = (
-    rf"(?:\G|(?<![{EMAIL_LOCAL}]))[{EMAIL_LOCAL}]++@[{EMAIL_DOMAIN}]+{EMAIL_END}"
+    rf"(?:\G|(?<![{EMAIL_LOCAL}])){EMAIL}"
 )
 
 

@@ -13,6 +13,7 @@ overflow the stack of a task.
 
 from __future__ import annotations
 
+import re
 import html.entities
 import json
 from functools import reduce
@@ -151,22 +152,23 @@ def visible_text(markup: Column) -> Column:
 
 
 def _attribute(name: str) -> str:
-    return rf"[\s/](?i:{name})\s*+=\s*+"
+    return rf"[\s/](?i:{re.escape(name)})\s*+=\s*+"
 
 
 def _up_to(attribute: str) -> str:
-    """Everything in a tag before an attribute; quoted values are not looked into."""
-    return rf"(?:(?!{attribute})(?:=\s*+{_QUOTED}|[^>]))*+"
+    """Everything in a tag before an attribute; quoted values are not looked into. Ends
+    where another tag seems to start, so many tags without an end take linear time."""
+    return rf"(?:(?!{attribute})(?:=\s*+{_QUOTED}|[^<>]))*+"
 
 
 def _open_tag(selector: Selector) -> str:
     """Pattern of the opening tag; group 1 is the tag name."""
-    name = f"(?i:{selector.tag})" if selector.tag else "[a-zA-Z][a-zA-Z0-9:-]*+"
+    name = f"(?i:{re.escape(selector.tag)})" if selector.tag else "[a-zA-Z][a-zA-Z0-9:-]*+"
     if selector.attr is None:
         return rf"<({name}){_NAME_END}{_ATTRS}{_TAG_END}"
     more = {'"': '[^"]*+', "'": "[^']*+", "": r"[^\s>]*+"} if selector.prefix else {}
     value = "|".join(
-        rf"{q}{selector.value}{more.get(q, '')}{q}" + (r"(?=[\s>])" if q == "" else "")
+        rf"{q}{re.escape(selector.value)}{more.get(q, '')}{q}" + (r"(?=[\s>])" if q == "" else "")
         for q in ('"', "'", "")
     )
     attribute = rf"{_attribute(selector.attr)}(?:{value})"

@@ -21,8 +21,15 @@ _EDGE_SPACE = rf"^[{WEB_SPACE}]++|(?![!-~])(?<![{WEB_SPACE}])[{WEB_SPACE}]++\z"
 
 
 def web_space(pattern: str) -> str:
-    """Widens every ``\\s`` of a pattern to the whitespace of the web."""
-    return pattern.replace(r"[-.\s]", rf"[-.{WEB_SPACE}]").replace(r"\s*", rf"[{WEB_SPACE}]*")
+    """Widens every ``\\s`` of a pattern, in a class or not, to the whitespace of the web."""
+    wide, in_class = [], False
+    for part in re.findall(r"(?s)\\.|.", pattern):
+        if part == r"\s":
+            part = WEB_SPACE if in_class else f"[{WEB_SPACE}]"
+        elif part in "[]":
+            in_class = part == "["
+        wide.append(part)
+    return "".join(wide)
 
 
 def web_trim(text: Column) -> Column:

@@ -11,9 +11,6 @@ from placeleads.operators.dedup import dedup_by_place, first_sightings, first_wi
 from placeleads.operators.enrich import enrich_emails, lookup_emails
 from placeleads.operators.extract import links, place_records, readable_pages
 
-# A search plan up to this size is broadcast: 34 MB at 100 bytes a row.
-MAX_BROADCAST_SEARCHES = 340_000
-
 
 def find_leads(
     pages: DataFrame,
@@ -41,24 +38,16 @@ def _with_emails(
     return enrich_emails(leads, lookup_emails(lookup_pages, **(lookup_options or {})))
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Checks a size without counting further than needed."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def searched_links(
     result_pages: DataFrame, plan: DataFrame, mark: str = PLACE_LINK_MARK
 ) -> DataFrame:
     """Links of captured result pages, with the number of their search.
 
-    Links are read before the join, so the HTML is not shuffled. The plan is broadcast
-    if it is small, which is counted; else both sides are shuffled, and the adaptive
-    skew join splits a search with very many links.
+    Links are read before the join, so the HTML is not shuffled. Both sides are narrow and
+    shuffled; the adaptive skew join splits a search with very many links.
     """
     found = links(result_pages, mark)
     numbered = plan.select("location", "query_seq", "search_query")
-    if has_at_most(numbered, MAX_BROADCAST_SEARCHES):
-        return found.join(F.broadcast(numbered), "search_query")
     return found.join(numbered.hint("merge"), "search_query")
 
 
@@ -88,10 +77,12 @@ def find_leads_by_plan(
     record, one per URL, or to its name if it cannot be a lead. On the other side a URL
     has at most one link per location, so no URL is hot.
     """
-    sightings = first_link_sightings(searched_links(result_pages, plan, mark), host).select(
+    narrow = result_pages.select("page_id", "search_query", "html")
+    sightings = first_link_sightings(searched_links(narrow, plan, mark), host).select(
         "location", "query_seq", F.col("page_id").alias("result_page_id"), "link_pos", "url"
     )
-    target = pages.withColumn("url", url.absolute_url(F.col("url"), host))
+    captured = pages.select("page_id", "url", "html")
+    target = captured.withColumn("url", url.absolute_url(F.col("url"), host))
     addressed = readable_pages(target).withColumn("page_url", F.col("url"))
     records = place_records(addressed, for_leads=True, **extract_options)
     by_url = first_wins(slim(records, ["page_url", "page_id"]), ["page_url"], ["page_id"])

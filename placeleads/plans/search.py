@@ -51,12 +51,18 @@ def zone_locations(location: Column, zones: int = 10) -> Column:
     """The location itself, then its numbered districts, zones and areas."""
     area, end = location_area(location), _country_end(location)
 
-    def numbered(kind: str, i: int) -> Column:
-        return F.concat(area, F.lit(f" {kind} {i}"), end)
+    if zones < 1:
+        return F.array(location)
 
-    pairs = [numbered(kind, i) for i in range(1, zones + 1) for kind in ("district", "zone")]
-    areas = [numbered("area", i) for i in range(1, min(zones, MAX_AREA_SEARCHES) + 1)]
-    return F.array(location, *pairs, *areas)
+    def numbered(kind: str, i: Column) -> Column:
+        return F.concat(area, F.lit(f" {kind} "), i.cast("string"), end)
+
+    def numbers(last: int) -> Column:
+        return F.sequence(F.lit(1), F.lit(last))
+
+    pairs = F.transform(numbers(zones), lambda i: F.array(numbered("district", i), numbered("zone", i)))
+    areas = F.transform(numbers(min(zones, MAX_AREA_SEARCHES)), lambda i: numbered("area", i))
+    return F.concat(F.array(location), F.flatten(pairs), areas)
 
 
 def search_texts(

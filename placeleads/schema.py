@@ -63,6 +63,7 @@ SIGHTING = T.StructType(
     + PLACE.fields
     + [
         T.StructField("seen_at", T.TimestampType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("is_lead", T.BooleanType()),
     ]

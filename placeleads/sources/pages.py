@@ -35,11 +35,3 @@ def stream_pages(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
-
-
-def spread(pages: DataFrame) -> DataFrame:
-    """Spreads an input with fewer splits than cores over all cores. Reading HTML is
-    bound by the processor, so a few small files would leave most cores idle; an
-    input that already has a split per core is left as it is, without a shuffle."""
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages if pages.rdd.getNumPartitions() >= cores else pages.repartition(cores)

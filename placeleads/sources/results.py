@@ -124,24 +124,3 @@ def store_totals(spark: SparkSession, store: str) -> DataFrame:
             F.sum("total_found").alias("total_found"),
         )
     )
-
-
-def export_document(
-    places: DataFrame, path: str, query: str, location: str, max_places: int = 100_000
-) -> None:
-    """Writes one document with all places inside, for tools that expect it.
-
-    Such a document is built in one task, so it is refused, not cut, when there are
-    more than ``max_places``.
-    """
-    if places.limit(max_places + 1).count() > max_places:
-        raise ValueError(f"more than {max_places} places; use write_places")
-    columns = [F.col(c).alias(DOCUMENT_NAMES.get(c, c)) for c in PLACE.fieldNames()]
-    document = places.agg(
-        F.current_timestamp().alias("scrapedAt"),
-        F.lit(query).alias("query"),
-        F.lit(location).alias("location"),
-        F.count("*").alias("totalFound"),
-        F.collect_list(F.struct(*columns)).alias("results"),
-    )
-    document.write.mode("overwrite").option("pretty", True).json(path)

@@ -3,13 +3,16 @@
 Each micro-batch adds one directory of *sightings*: the first place of every name that
 no earlier batch has seen, whether it is a lead or not. That one table is both the
 memory of the dedup, which must know rejected names as well, and the result, which is
-its ``is_lead=true`` part. A batch that is run again replaces its own directory and
-looks only at earlier ones, so a restart neither loses nor doubles a lead. Reading the
+its ``is_lead=true`` part. Directories are named after the streaming query, whose id the
+checkpoint keeps, and the batch, so another checkpoint on the same store goes on with what
+is there. A batch that is run again replaces its own directory and does not look at itself,
+so a restart neither loses nor doubles a lead. Reading the
 seen names costs one narrow column; the pages behind them are hundreds of times larger.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +72,13 @@ def start_lead_stream(
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            _add_batch(batch, batch_id, store, emails)
+            run = _query_id(batch.sparkSession, checkpoint)
+            _add_batch(batch, run, batch_id, store, emails)
             if on_result is None and on_progress is None:
                 return
             spark = batch.sparkSession
-            leads = read_stream_leads(spark, store).where(F.col("batch_id") == batch_id)
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            leads = read_stream_leads(spark, store).where(own)
             if on_result is not None:
                 on_result(leads, batch_id)
             if on_progress is not None:
@@ -89,21 +94,29 @@ def start_lead_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _add_batch(batch: DataFrame, batch_id: int, store: str, emails: DataFrame | None) -> None:
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query, which its checkpoint holds from the start on."""
+    written = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+    return json.loads(written)["id"]
+
+
+def _add_batch(
+    batch: DataFrame, run: str, batch_id: int, store: str, emails: DataFrame | None
+) -> None:
     """Writes the sightings and the quarantined pages of one batch."""
     spark = batch.sparkSession
     places = batch.where("reason is null").drop("reason", "bad_url")
     new = first_sightings(places, ["page_id"]).select(
         "page_id", "name_key", "lead.*", F.col("lead").isNotNull().alias("is_lead")
     )
-    if batch_id > 0:
-        seen = read_sightings(spark, store).where(F.col("batch_id") < batch_id)
-        new = new.join(seen.select("name_key"), "name_key", "left_anti")
+    not_own = (F.col("run") != run) | (F.col("batch_id") < batch_id)
+    seen = read_sightings(spark, store).where(not_own)
+    new = new.join(seen.select("name_key"), "name_key", "left_anti")
     if emails is not None:
         new = enrich_emails(new, emails)
     new = new.withColumn("seen_at", F.current_timestamp())
     sightings = new.select("page_id", "name_key", *PLACE.fieldNames(), "seen_at", "is_lead")
-    own = f"{store}/sightings/batch_id={batch_id}"
+    own = f"{store}/sightings/run={run}/batch_id={batch_id}"
     sightings.write.mode("overwrite").partitionBy("is_lead").parquet(own)
     bad = batch.where("reason is not null").select("page_id", F.col("bad_url").alias("url"), "reason")
-    bad.write.mode("overwrite").parquet(f"{store}/quarantine/batch_id={batch_id}")
+    bad.write.mode("overwrite").parquet(f"{store}/quarantine/run={run}/batch_id={batch_id}")

@@ -17,7 +17,7 @@ def plain_phone(text):
 
 
 def plain_emails(text):
-    pattern = f"[{c.EMAIL_LOCAL}]+@[{c.EMAIL_DOMAIN}]+{c.EMAIL_END}"
+    pattern = c.EMAIL
     return re.findall(pattern, text)
 
 

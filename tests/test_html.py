@@ -218,3 +218,18 @@ def test_hostile_pages_neither_overflow_nor_hang(spark, page):
         h.has_element(m, SELECTORS["website"]),
     ).collect()
     assert time.time() - started < 60
+
+
+@pytest.mark.parametrize("tag", ["<a ", "<button ", "<div ", '<a data-item-id="x" ', "<a href"])
+def test_many_tags_without_an_end_take_linear_time(spark, tag):
+    page = tag * (1_000_000 // len(tag)) + " authority"
+    df = spark.createDataFrame([(page,)], "m string")
+    started = time.time()
+    df.select(h.hrefs(F.col("m")), h.has_element(F.col("m"), SELECTORS["website"])).collect()
+    assert time.time() - started < 20
+
+
+def test_selector_values_are_literal(spark):
+    df = spark.createDataFrame([('<a data-id="a.b(c">x</a>',), ('<a data-id="aXb(c">x</a>',)], "m string")
+    found = h.has_element(F.col("m"), (Selector("a", "data-id", "a.b(c"),))
+    assert [r[0] for r in df.select(found).collect()] == [True, False]

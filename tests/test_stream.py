@@ -77,6 +77,16 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path, place_pages):
     assert keep(streaming.read_stream_leads(spark, store)) == keep(find_leads(place_pages))
 
 
+def test_another_checkpoint_goes_on_with_the_store(spark, tmp_path, place_pages):
+    store = str(tmp_path / "store")
+    for i, (low, high) in enumerate(((0, 70), (50, 150))):
+        files = str(tmp_path / f"files{i}")
+        arrive(place_pages, files, low, high)
+        checkpoint = str(tmp_path / f"checkpoint{i}")
+        streaming.start_lead_stream(stream_pages(spark, files), store, checkpoint).awaitTermination()
+    assert keep(streaming.read_stream_leads(spark, store)) == keep(find_leads(place_pages))
+
+
 def test_a_batch_that_failed_after_writing_is_not_doubled(spark, tmp_path, place_pages):
     files, store = str(tmp_path / "files"), str(tmp_path / "store")
     checkpoint = str(tmp_path / "checkpoint")
