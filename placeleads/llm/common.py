@@ -68,10 +68,15 @@ def shards(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 def add_columns(
-    df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, pa.Array]], added: str
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    added: str,
+    weigh: Callable[[pa.RecordBatch], list[int]] | None = None,
+    most: int = 0,
 ) -> DataFrame:
     """The rows with columns computed per Arrow batch; they replace columns of their names,
-    which the function still sees."""
+    which the function still sees. With ``weigh``, the sizes of the rows, a batch is worked
+    on and given back in parts of about ``most``."""
     kinds = [part.split() for part in added.split(";")]
     names = [name for name, _ in kinds]
     kept = [c for c in df.columns if c.lower() not in names]
@@ -80,11 +85,14 @@ def add_columns(
     ).schema
 
     def run(batches):
-        for batch in batches:
-            new = function(batch)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], *[new[n] for n in names]], [*kept, *names]
-            )
+        for whole in batches:
+            parts = shards(weigh(whole), most) if weigh else [(0, whole.num_rows)]
+            for start, stop in parts:
+                batch = whole.slice(start, stop - start)
+                new = function(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c) for c in kept], *[new[n] for n in names]], [*kept, *names]
+                )
 
     return df.mapInArrow(run, schema)
 

@@ -164,7 +164,13 @@ def judge(df: DataFrame, text: str = "text", rules: Rules | None = None) -> Data
 def keep_good(df: DataFrame, text: str = "text", rules: Rules | None = None) -> DataFrame:
     """Only the documents that the rules keep, with their columns, and the cleaned text in
     place of the text."""
-    judged = judge(df, text, rules).where("kept")
+    rest = [F.col(f"`{c}`") for c in df.columns]
+    judged = judge(df.select(F.struct(*rest).alias("own"), F.col(f"`{text}`").alias("text")), "text", rules)
+    out = [
+        F.col("clean_text").alias(c) if c == text else F.col("own").getField(c).alias(c)
+        for c in df.columns
+    ]
+    # Not a filter: that would be pushed below the measures and compute them a second time.
     return judged.select(
-        *[F.col("clean_text").alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
+        F.inline(F.when(F.col("kept"), F.array(F.struct(*out))).otherwise(F.array()))
     )

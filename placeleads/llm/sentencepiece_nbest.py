@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeleads.llm.common import add_columns, free_name, shards
+from placeleads.llm.common import add_columns, free_name
 
 SPACE_MARK = "▁"
 UNKNOWN_COST = 10.0  # fixed value: what an unknown character costs beyond the lowest score
@@ -381,23 +381,21 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, n: int = 4) ->
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        parts: dict[str, list] = {name: [] for name in names}
-        sizes = [x.as_py() or 0 for x in pc.binary_length(batch.column(column))]
-        for start, stop in shards(sizes, SHARD_CHARS):
-            texts = batch.column(column).slice(start, stop - start).to_pylist()
-            none = np.array([t is None for t in texts])
-            ids, bounds, scores, others = shared.value.encode(texts)
-            at = pa.array(bounds, pa.int32())
-            parts["ids"].append(
-                pa.ListArray.from_arrays(at, pa.array(ids, pa.int32()), mask=pa.array(none))
-            )
-            parts["score"].append(pa.array(scores, pa.float64(), mask=none))
-            others = [None if t is None else o for t, o in zip(texts, others, strict=True)]
-            parts["alternatives"].append(pa.array(others, other))
-        kinds = {"ids": pa.list_(pa.int32()), "score": pa.float64(), "alternatives": other}
-        return {k: pa.concat_arrays(v) if v else pa.array([], kinds[k]) for k, v in parts.items()}
+        texts = batch.column(column).to_pylist()
+        none = np.array([t is None for t in texts], bool)
+        ids, bounds, scores, others = shared.value.encode(texts)
+        at = pa.array(bounds, pa.int32())
+        others = [None if t is None else o for t, o in zip(texts, others, strict=True)]
+        return {
+            "ids": pa.ListArray.from_arrays(at, pa.array(ids, pa.int32()), mask=pa.array(none)),
+            "score": pa.array(scores, pa.float64(), mask=none),
+            "alternatives": pa.array(others, other),
+        }
 
-    return add_columns(rows, add, ADDED)
+    def weigh(batch: pa.RecordBatch) -> list[int]:
+        return [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
+
+    return add_columns(rows, add, ADDED, weigh, SHARD_CHARS)
 
 
 def applied(ids: list[int], edits: list[dict]) -> list[int]:
@@ -436,4 +434,7 @@ def decode(df: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
         texts = [turn(p.values.to_pylist()) if p.is_valid else None for p in column]
         return {"decoded": pa.array(texts, pa.string())}
 
-    return add_columns(df, add, "decoded string")
+    def weigh(batch: pa.RecordBatch) -> list[int]:
+        return [n or 0 for n in pc.list_value_length(batch.column(ids)).to_pylist()]
+
+    return add_columns(df, add, "decoded string", weigh, SHARD_CHARS // 4)
