@@ -41,7 +41,7 @@ from placeleads.llm.common import add_columns, free_name
 SPACE_MARK = "▁"
 UNKNOWN_COST = 10.0  # fixed value: what an unknown character costs beyond the lowest score
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SHARD_CHARS = 4 << 20
+SHARD_CHARS = 2 << 20
 LONGEST = 48  # characters of words that are segmented together
 KEPT_PATHS = 20_000  # words whose paths a worker remembers
 _FACTOR = 0x9E3779B97F4A7C15
