@@ -259,9 +259,13 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts, ranks, size, percent)
     wanted = wanted.select(F.xxhash64("doc").alias("key"))
     some, _ = split_by_key(texts.withColumn("key", F.xxhash64("doc")), "key", wanted)
     pieces = cut_lineage(_pieces(some, ranks, size), "pieces")
+    keyed = pieces.withColumn("key", F.xxhash64("node"))
 
     def piece(x: str) -> DataFrame:
-        return pieces.toDF(f"{x}node", x, f"{x}k2", "fragment", f"{x}grams")
+        """Pieces of the sets on this side of a pair; only these are shuffled for it."""
+        wanted = near.select(F.xxhash64(f"{x}node").alias("key")).distinct()
+        some, _ = split_by_key(keyed, "key", wanted)
+        return some.select(pieces.columns).toDF(f"{x}node", x, f"{x}k2", "fragment", f"{x}grams")
 
     each = near.join(piece("a"), ["a", "ak2", "anode"]).join(
         piece("b"), ["b", "bk2", "bnode", "fragment"]
@@ -303,17 +307,16 @@ def join_ngrams(
     order = F.call_function(
         "shiftleft", F.least("place", F.lit(1023)).cast("long"), F.lit(53)
     ) + F.shiftrightunsigned("k1", 11)
-    prefixes = prefixes.withColumn("order", order)
     leaders = cut_lineage(
         prefixes.groupBy("token")
-        .agg(F.min("order").alias("lead"), F.max("order").alias("last"))
+        .agg(F.min(order).alias("lead"), F.max(order).alias("last"))
         .where("lead <> last")
         .select("token", "lead"),
         "leaders",
     )
     shared = cut_lineage(
         prefixes.join(leaders, "token")
-        .select("token", "k1", "n", "place", (F.col("order") == F.col("lead")).alias("leads"))
+        .select("token", "k1", "n", "place", (order == F.col("lead")).alias("leads"))
         .distinct(),
         "shared-ngrams",
     )
