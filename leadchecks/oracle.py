@@ -7,7 +7,7 @@ nothing with the library but the fixed values.
 from __future__ import annotations
 
 from leadchecks import fixtures
-from leadchecks.queries import DOCUMENT_PHRASES, DOMAIN_END, LANGUAGE, LINK_MARK
+from leadchecks.queries import DOCUMENT_PAGES, DOCUMENT_PHRASES, DOMAIN_END, LANGUAGE, LINK_MARK
 from placeleads import constants as c
 from placeleads.functions.text import web_space
 
@@ -309,11 +309,33 @@ ORACLE = {
         "places",
         "second_places",
     ),
+    "results_totals": _with(
+        "select 'food & drink' as query, 'all' as location, (select count(*) from places) + "
+        "(select count(*) from second_places n "
+        f"where ({_NEW_BY_ID}) or ({_NEW_BY_NAME})) as total_found, true as updated",
+        "places",
+        "second_places",
+    ),
+    "results_documents": _with(
+        "select name, phone, array_to_string(emails, ' ') as emails, place_id, "
+        f"cast(null as bigint) as corrupt from leads where page_id // {DOCUMENT_PAGES} % 3 <> 1 "
+        f"union all select distinct null, null, null, null, page_id // {DOCUMENT_PAGES} from leads "
+        f"where page_id // {DOCUMENT_PAGES} % 3 = 1",
+        "leads",
+    ),
     "results_envelope": _with(
         "select 'food & drink' as query, 'all' as location, count(*) as total_found from leads",
         "leads",
     ),
     "stream_leads": _with(f"select page_id, {_PLACE} from leads", "leads"),
+    "stream_resume": _with(f"select page_id, {_PLACE} from leads", "leads"),
+    "stream_hooks": _with(
+        "select count(*) as processed, count(*) filter (where contains(url, '%ZZ')) as quarantined, "
+        "(select count(*) from leads) as found, (select count(*) from leads) as received "
+        "from place_pages",
+        "place_pages",
+        "leads",
+    ),
     "stream_dedup": f"select page_id, name_key from ({_PAGES_FIRST})",
     "stream_append": _with(_SUMMARY + "enriched", "enriched"),
     "category_dim": "select s_suppkey, cast(j - 1 as int) as cat_seq, "
@@ -427,6 +449,11 @@ ORACLE = {
         "place_pages",
         "leads",
     ),
+    "progress_observed": _with(
+        "select count(*) as processed, (select count(*) from leads) as found from place_pages",
+        "place_pages",
+        "leads",
+    ),
     "leads": _with(f"select {_RECORD} from enriched", "enriched"),
     "subdivided_leads": _with(
         f"select location, query_seq, result_page_id, link_pos, page_id, {_PLACE} "

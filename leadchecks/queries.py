@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadchecks import fixtures
@@ -12,6 +12,7 @@ from placeleads.functions.text import contains_any
 from placeleads.operators import dedup, enrich, extract, merge, report
 from placeleads.plans import leads as pipelines
 from placeleads.plans import search
+from placeleads.schema import DOCUMENT_NAMES
 from placeleads.sources import pages as page_source
 from placeleads.sources import results
 from placeleads.sources.workdir import new_work_dir
@@ -21,6 +22,7 @@ from placeleads.streaming import leads as streaming
 LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
 STREAM_SLICES = 3
+DOCUMENT_PAGES = 50
 
 LANGUAGE = "^[a-z]+://[^/]+/([a-z]+)/"
 DOMAIN_END = r"^[a-z]+://[^/]*\.([a-z]+)/"
@@ -88,6 +90,50 @@ def results_store(spark, sf_dir):
     return _flat(results.read_store(spark, store))
 
 
+def results_totals(spark, sf_dir):
+    """Totals of a store after two runs, and whether the times of both are kept."""
+    store = new_work_dir(spark, "results-totals")
+    for run_id, places in enumerate((_places(spark, sf_dir), _second_places(spark, sf_dir))):
+        results.append_run(spark, places, store, run_id, "food & drink", "all")
+    updated = F.col("last_updated") > F.col("scraped_at")
+    return results.store_totals(spark, store).select(
+        "query", "location", "total_found", updated.alias("updated")
+    )
+
+
+def results_documents(spark, sf_dir):
+    """Result documents, one for the leads of ``DOCUMENT_PAGES`` pages, read back: the places
+    of valid ones, and the numbers of the ones that are cut off."""
+    path = new_work_dir(spark, "results-documents")
+    leads = _leads_of_places(spark, sf_dir).withColumn("number", _document_number("page_id"))
+    named = leads.withColumnsRenamed(DOCUMENT_NAMES)
+    place = F.struct(*(DOCUMENT_NAMES.get(c, c) for c in _PLACE_COLUMNS))
+    documents = named.groupBy("number").agg(
+        F.to_json(
+            F.struct(
+                F.current_timestamp().alias("scrapedAt"),
+                F.lit("food & drink").alias("query"),
+                F.lit("all").alias("location"),
+                F.count("*").alias("totalFound"),
+                F.collect_list(place).alias("results"),
+            ),
+            {"pretty": "true"},
+        ).alias("value")
+    )
+    cut_off = F.when(F.col("number") % 3 == 1, F.expr("left(value, length(value) - 9)"))
+    whole = documents.withColumn("value", F.coalesce(cut_off, "value"))
+    whole.repartition("number").write.partitionBy("number").text(path)
+    read = results.read_documents(spark, path)
+    places = _flat(results.places_of_documents(read)).select("name", "phone", "emails", "place_id")
+    number = F.regexp_extract("path", r"number=(\d+)", 1).cast("long")
+    bad = results.corrupt_documents(read).select(number.alias("corrupt"))
+    return places.unionByName(bad, allowMissingColumns=True)
+
+
+def _document_number(page_id: str) -> Column:
+    return F.floor(F.col(page_id) / DOCUMENT_PAGES).cast("long")
+
+
 def results_envelope(spark, sf_dir):
     leads = _leads_of_places(spark, sf_dir)
     return report.results_envelope(leads, "food & drink", "all").drop("scraped_at")
@@ -121,6 +167,35 @@ def stream_dedup(spark, sf_dir):
     return streaming.read_sightings(spark, store).select("page_id", "name_key")
 
 
+def stream_resume(spark, sf_dir):
+    """Half of the pages with one checkpoint, then all pages with another one on the same
+    store, which must add what is new and lose nothing."""
+    pages = fixtures.place_pages(spark, sf_dir).select("page_id", "url", "html")
+    store = new_work_dir(spark, "stream-resume")
+    middle = F.lit(pages.agg(F.avg("page_id")).first()[0])
+    for turn, arrived in enumerate((pages.where(F.col("page_id") < middle), pages)):
+        files = new_work_dir(spark, "stream-resume-files")
+        arrived.write.parquet(files)
+        stream = page_source.stream_pages(spark, files)
+        streaming.start_lead_stream(stream, store, f"{store}/checkpoint-{turn}").awaitTermination()
+    return _flat(streaming.read_stream_leads(spark, store).select("page_id", *_PLACE_COLUMNS))
+
+
+def stream_hooks(spark, sf_dir):
+    """What the hooks of a stream are given, in total."""
+    received, counts = new_work_dir(spark, "stream-hooks-received"), []
+
+    def keep(found: DataFrame, batch_id: int) -> None:
+        found.select("page_id").write.mode("overwrite").parquet(f"{received}/batch={batch_id}")
+
+    pages = fixtures.place_pages(spark, sf_dir)
+    _run_stream(spark, pages, "stream-hooks", on_result=keep, on_progress=counts.append)
+    progress = spark.createDataFrame(counts, "processed long, quarantined long, found long")
+    given = spark.read.schema("page_id long").parquet(received).agg(F.count("*").alias("received"))
+    both = progress.unionByName(given, allowMissingColumns=True)
+    return both.agg(*(F.sum(c).alias(c) for c in both.columns))
+
+
 def stream_append(spark, sf_dir):
     emails = enrich.lookup_emails(fixtures.lookup_pages(spark, sf_dir))
     pages = fixtures.place_pages(spark, sf_dir)
@@ -385,6 +460,15 @@ def progress_counts(spark, sf_dir):
     return report.progress_counts(pages, pipelines.find_leads(pages), ["query_seq"])
 
 
+def progress_observed(spark, sf_dir):
+    """Pages and leads counted while the leads are written, in the same pass."""
+    pages, read = report.observe_progress(fixtures.place_pages(spark, sf_dir), "pages")
+    found, kept = report.observe_progress(pipelines.find_leads(pages), "leads")
+    results.write_places(found.select(*_PLACE_COLUMNS), new_work_dir(spark, "progress"))
+    counts = [(read.get["rows"], kept.get["rows"])]
+    return spark.createDataFrame(counts, "processed long, found long")
+
+
 # Pipelines
 
 
@@ -413,9 +497,13 @@ ALL = {
         results_sink,
         results_scan,
         results_store,
+        results_totals,
+        results_documents,
         results_envelope,
         stream_leads,
         stream_dedup,
+        stream_resume,
+        stream_hooks,
         stream_append,
         category_dim,
         location_parse,
@@ -460,6 +548,7 @@ ALL = {
         running_unique,
         running_unique_pages,
         progress_counts,
+        progress_observed,
         leads,
         subdivided_leads,
     )

@@ -43,15 +43,20 @@ def enrich_emails(leads: DataFrame, lookup_emails: DataFrame) -> DataFrame:
     All rows take part in the join, those with an email too: nulling their key would
     send them all to one reducer. For the same reason a row without a name gets a hash
     as its key. Names are distinct by now, hence so are, but for rare cases, the lookup
-    queries; the other side holds one row per query.
+    queries; the other side holds one row per query. Still, a chain without a city may be
+    a lead of very many runs. The keys are made after the last shuffle of both sides, so
+    the join shuffles them anew and the adaptive skew join can split such a key.
     """
     columns = leads.columns
-    query = contact.lookup_query(F.col("name"), F.col("address"))
+    query = F.concat(F.lit("query "), contact.lookup_query(F.col("name"), F.col("address")))
     stand_in = F.concat(F.lit("none "), F.xxhash64(*columns).cast("string"))
-    keyed = leads.withColumn("lookup_query", F.coalesce(query, stand_in))
+    keyed = leads.withColumn("_key", F.coalesce(query, stand_in))
+    found = lookup_emails.select(
+        F.concat(F.lit("query "), F.col("lookup_query")).alias("_key"), "lookup_email"
+    )
     use = F.col("name").isNotNull() & (F.size("emails") == 0) & F.col("lookup_email").isNotNull()
     return (
-        keyed.join(lookup_emails, "lookup_query", "left")
+        keyed.join(found, "_key", "left")
         .withColumn("emails", F.when(use, F.array("lookup_email")).otherwise(F.col("emails")))
         .select(*columns)
     )

@@ -75,7 +75,8 @@ def find_leads_by_plan(
 
     A place page is joined to the links that led to it after it was reduced to its
     record, one per URL, or to its name if it cannot be a lead. On the other side a URL
-    has at most one link per location, so no URL is hot.
+    has at most one link per location. With very many locations that can be a hot key:
+    both sides are shuffled for the join, so the adaptive skew join can split it.
     """
     narrow = result_pages.select("page_id", "search_query", "html")
     sightings = first_link_sightings(searched_links(narrow, plan, mark), host).select(
@@ -86,7 +87,9 @@ def find_leads_by_plan(
     addressed = readable_pages(target).withColumn("page_url", F.col("url"))
     records = place_records(addressed, for_leads=True, **extract_options)
     by_url = first_wins(slim(records, ["page_url", "page_id"]), ["page_url"], ["page_id"])
-    visited = sightings.join(by_url, sightings["url"] == by_url["page_url"]).drop("url", "page_url")
+    linked = sightings.withColumn("_key", F.concat(F.lit("url "), F.col("url"))).drop("url")
+    reached = by_url.withColumn("_key", F.concat(F.lit("url "), F.col("page_url"))).drop("page_url")
+    visited = linked.join(reached, "_key").drop("_key")
     order = ["query_seq", "result_page_id", "link_pos"]
     first = first_wins(visited, ["location", "name_key"], order).where("lead is not null")
     leads = first.select("location", *order, "page_id", "lead.*")
