@@ -1,8 +1,9 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from placeleads.operators import merge
+from placeleads.operators import enrich, merge
 
 SCHEMA = "page_id int, place_id string, name string, emails array<string>"
 
@@ -72,9 +73,9 @@ def test_existing_keys_are_combined_before_the_shuffle(spark, plan_of):
     assert "HashAggregate" in right[-1] and "HashAggregate" in right[-2]
 
 
-def test_a_hot_new_key_is_split(spark, plan_of):
-    """With thresholds low enough for test data, the adaptive join splits the key that
-    fills a third of the new rows."""
+@pytest.fixture
+def skewed(spark):
+    """Thresholds low enough for the adaptive join to split a key of test data."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -86,17 +87,37 @@ def test_a_hot_new_key_is_split(spark, plan_of):
     before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        key = "case when id % 3 = 0 then 'hot' else concat('k', id) end as place_id"
-        new = spark.range(0, 60_000, 1, 12).selectExpr("id as page_id", key, "sha2('x' || id, 512) as name")
-        existing = spark.range(1000).selectExpr("id as page_id", "concat('k', id) as place_id", "'n' as name")
-        kept = merge.new_only(new, existing)
-        kept.collect()
-        assert "isSkew=true" in plan_of(kept) or "skew=true" in plan_of(kept).lower()
-        assert kept.count() == 60_000 - sum(1 for i in range(1000) if i % 3)
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def test_a_hot_new_key_is_split(spark, plan_of, skewed):
+    """The key that fills a third of the new rows."""
+    key = "case when id % 3 = 0 then 'hot' else concat('k', id) end as place_id"
+    new = spark.range(0, 60_000, 1, 12).selectExpr("id as page_id", key, "sha2('x' || id, 512) as name")
+    existing = spark.range(1000).selectExpr("id as page_id", "concat('k', id) as place_id", "'n' as name")
+    kept = merge.new_only(new, existing)
+    kept.collect()
+    assert "skew=true" in plan_of(kept).lower()
+    assert kept.count() == 60_000 - sum(1 for i in range(1000) if i % 3)
+
+
+def test_a_hot_lookup_query_is_split(spark, plan_of, skewed):
+    """A chain without a city that is a lead of many runs."""
+    name = "case when id % 3 = 0 then 'chain' else concat('n', id) end as name"
+    leads = spark.range(0, 60_000, 1, 12).selectExpr(
+        "id as page_id", name, "cast(null as string) as address",
+        "cast(array() as array<string>) as emails", "sha2('x' || id, 512) as place_id",
+    )
+    pages = spark.createDataFrame(
+        [(1, "chain  email", "<body>a@shop.test</body>"), (2, "chain  email", "<body>b@shop.test</body>")],
+        "lookup_id long, lookup_query string, html string",
+    )
+    found = enrich.enrich_emails(leads, enrich.lookup_emails(pages))
+    rows = found.collect()
+    assert "skew=true" in plan_of(found).lower()
+    assert sum(r["emails"] == ["a@shop.test"] for r in rows) == 20_000 and len(rows) == 60_000
