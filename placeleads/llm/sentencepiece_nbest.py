@@ -431,7 +431,10 @@ def decode(df: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         turn, column = shared.value.decode, batch.column(ids)
-        texts = [turn(p.values.to_pylist()) if p.is_valid else None for p in column]
+        texts = [
+            turn(p.values.to_numpy(zero_copy_only=False).tolist()) if p.is_valid else None
+            for p in column
+        ]
         return {"decoded": pa.array(texts, pa.string())}
 
     def weigh(batch: pa.RecordBatch) -> list[int]:
