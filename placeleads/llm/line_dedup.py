@@ -13,6 +13,11 @@ with the smallest hash is selected as a fingerprint (winnowing), so any run of a
 4. delete a line if a window over it occurred earlier, in a document with a smaller id or
    further up in the same one. Windows of fewer than ``min_chars`` characters do not count.
 
+With ``passage_words``, shorter passages count as well: every run of fewer than ``window``
+lines with at least so many words, and every text of fewer lines that has ``min_chars``
+characters, is a fingerprint of its own, with no selection. Without it (the default) such
+passages stay, as a single repeated line does.
+
 Positions are compared with the first position of their window only, so a window that a third
 of all documents share costs one row per document, never a pair.
 
@@ -29,12 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeleads.llm.common import add_columns, cut_lineage, map_batches
+from placeleads.llm.common import add_columns, cut_lineage, map_batches, shards
 
 WINDOW = 3
 MIN_CHARS = 60
+PASSAGE_WORDS = 20  # of a passage that counts though it has fewer lines than a window
+SHARD_CHARS = 4 << 20  # of texts whose fingerprints are given back at once
 _TRIM = " \t\n\x0b\x0c\r"
-_FINGERPRINTS = "h bigint, doc bigint, version bigint, spots array<struct<start:int,x:binary>>"
+_FINGERPRINTS = "h bigint, doc bigint, version bigint, spots array<struct<start:int,size:int,x:binary>>"
 
 
 def numbered_lines(text: str | None) -> list[tuple[int, str]]:
@@ -58,27 +65,62 @@ def fingerprints(text: str | None, window: int, min_chars: int):
     for start, at in enumerate(chosen.tolist()):
         if chars[start + window] - chars[start] >= min_chars:
             x = xxhash.xxh3_128_digest(b"\n".join(raw[start : start + window]))
-            spots.setdefault(at, []).append({"start": start, "x": x})
+            spots.setdefault(at, []).append({"start": start, "size": window, "x": x})
     for at, found in spots.items():
         yield int(hashes[at].astype(np.int64)), found
 
 
-def repeated_windows(df: DataFrame, text: str, doc_id: str, window: int, min_chars: int) -> DataFrame:
-    """Windows that occurred earlier: ``(doc, version, starts)`` per document."""
+def passages(text: str | None, window: int, min_chars: int, passage_words: int):
+    """Runs of fewer lines than a window that count: hash, and the run as its only window.
+    A run of lines that all count alone is left out: if it occurred earlier, so did they."""
+    lines = [line for _, line in numbered_lines(text)]
+    raw = [line.encode("utf-8", "surrogatepass") for line in lines]
+    words = [len(line.split()) for line in lines]
+    for size in range(1, min(window - 1, len(lines)) + 1):
+        for start in range(len(lines) - size + 1):
+            own = slice(start, start + size)
+            whole = size == len(lines) and sum(map(len, lines)) >= min_chars
+            alone = size > 1 and min(words[own]) >= passage_words
+            if (whole or sum(words[own]) >= passage_words) and not alone:
+                x = xxhash.xxh3_128_digest(b"\n".join(raw[own]))
+                h = int.from_bytes(x[:8], "big", signed=True)
+                yield h, [{"start": start, "size": size, "x": x}]
+
+
+def repeated_windows(
+    df: DataFrame,
+    text: str,
+    doc_id: str,
+    window: int,
+    min_chars: int,
+    passage_words: int | None = None,
+) -> DataFrame:
+    """Windows that occurred earlier: ``(doc, version, starts)`` per document, each with the
+    number of its first line and its number of lines."""
+
+    def points_of(t: str | None):
+        yield from fingerprints(t, window, min_chars)
+        if passage_words is not None:
+            yield from passages(t, window, min_chars, passage_words)
 
     def select(batch: pa.RecordBatch):
-        rows = [
-            (h, doc, version, spots)
-            for doc, version, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for h, spots in fingerprints(t, window, min_chars)
-        ]
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        spot = pa.list_(pa.struct([("start", pa.int32()), ("x", pa.binary())]))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), spot)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            ["h", "doc", "version", "spots"],
+        spot = pa.list_(
+            pa.struct([("start", pa.int32()), ("size", pa.int32()), ("x", pa.binary())])
         )
+        kinds = (pa.int64(), pa.int64(), pa.int64(), spot)
+        sizes = [len(t) if t else 0 for t in batch.column("text").to_pylist()]
+        for start, stop in shards(sizes, SHARD_CHARS):
+            part = batch.slice(start, stop - start)
+            rows = [
+                (h, doc, version, spots)
+                for doc, version, t in zip(*(c.to_pylist() for c in part.columns), strict=True)
+                for h, spots in points_of(t)
+            ]
+            columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                ["h", "doc", "version", "spots"],
+            )
 
     texts = df.where(F.col(f"`{doc_id}`").isNotNull()).select(
         F.col(f"`{doc_id}`").cast("long").alias("doc"),
@@ -90,7 +132,7 @@ def repeated_windows(df: DataFrame, text: str, doc_id: str, window: int, min_cha
         points.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "line-shared"
     )
     spots = points.join(shared, "h").select(
-        "doc", "version", F.inline("spots").alias("start", "x")
+        "doc", "version", F.inline("spots").alias("start", "size", "x")
     )
     first = cut_lineage(
         spots.groupBy("x")
@@ -100,18 +142,18 @@ def repeated_windows(df: DataFrame, text: str, doc_id: str, window: int, min_cha
         "line-first",
     )
     later = spots.join(first, "x").where(F.struct("doc", "start") > F.col("first"))
-    return later.groupBy("doc", "version").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "size")).alias("starts"))
 
 
-def _without(text: str | None, starts: list[int] | None, window: int):
+def _without(text: str | None, starts: list[dict] | None):
     """Text without the lines under the windows, number of lines removed, number of runs."""
     if text is None or not starts:
         return text, 0, 0
     lines = text.split("\n")
     numbers = [i for i, _ in numbered_lines(text)]
     covered = np.zeros(len(numbers) + 1, bool)
-    for start in starts:
-        covered[start : start + window] = True
+    for s in starts:
+        covered[s["start"] : s["start"] + s["size"]] = True
     covered[-1] = False
     gone = {numbers[i] for i in np.flatnonzero(covered).tolist()}
     runs = int(np.count_nonzero(covered[:-1] & ~covered[1:]))
@@ -125,6 +167,7 @@ def dedup_lines(
     doc_id: str = "doc_id",
     window: int = WINDOW,
     min_chars: int = MIN_CHARS,
+    passage_words: int | None = None,
 ) -> DataFrame:
     """The rows with ``clean_text``, ``removed_lines`` and ``removed_runs``."""
     added = "clean_text string;removed_lines bigint;removed_runs bigint"
@@ -137,14 +180,14 @@ def dedup_lines(
         F.xxhash64(f"`{text}`").alias("version"),
     )
     marked = rows.join(
-        repeated_windows(df, text, doc_id, window, min_chars), ["doc", "version"], "left"
+        repeated_windows(df, text, doc_id, window, min_chars, passage_words), ["doc", "version"], "left"
     ).select("own", "text", "starts")
 
     def clean(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         both = zip(
             batch.column("text").to_pylist(), batch.column("starts").to_pylist(), strict=True
         )
-        done = [_without(t, s, window) for t, s in both]
+        done = [_without(t, s) for t, s in both]
         return {
             "clean_text": pa.array([d[0] for d in done], pa.string()),
             "removed_lines": pa.array([d[1] for d in done], pa.int64()),

@@ -76,6 +76,17 @@ def op5_line_dedup(spark, sf_dir):
     )
 
 
+def op5_passage_dedup(spark, sf_dir):
+    """As ``op5_line_dedup``, and passages of fewer lines than a window go as well."""
+    done = line_dedup.dedup_lines(_texts(spark, sf_dir), passage_words=line_dedup.PASSAGE_WORDS)
+    return done.select(
+        "doc_id",
+        F.col("removed_lines").alias("n_removed"),
+        F.col("removed_runs").alias("n_runs"),
+        F.col("clean_text").alias("text"),
+    )
+
+
 def op6_decontamination(spark, sf_dir):
     found = decontaminate.find_benchmark(_texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
@@ -129,6 +140,7 @@ LLM_QUERIES = {
         op3_secret_scan,
         op4_sentencepiece,
         op5_line_dedup,
+        op5_passage_dedup,
         op6_decontamination,
         op7_ngram_join,
         op8_pii,

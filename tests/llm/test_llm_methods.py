@@ -224,6 +224,39 @@ def test_fingerprints_cover_every_window():
     assert sorted(found) == list(range(len(line_dedup.numbered_lines(text)) - 2))
 
 
+def test_copies_of_one_and_two_lines_go(spark):
+    line = " ".join(f"w{i}" for i in range(20))
+    short = "an exact copy of a whole text of few words,\nbut of more than sixty characters"
+    rows = [
+        (1, f"head of one\n{line}\nfoot"), (2, f"other\n  {line}\nend"), (3, line),
+        (4, short), (5, short), (6, f"a\n{short}\nb"), (7, "a\nb"), (8, "a\nb"), (9, f"{line}x"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    done = line_dedup.dedup_lines(df, passage_words=20).collect()
+    got = {r["doc_id"]: (r["clean_text"], r["removed_lines"], r["removed_runs"]) for r in done}
+    want = {i: (text, 0, 0) for i, text in rows}
+    want |= {2: ("other\nend", 1, 1), 3: ("", 1, 1), 5: ("", 2, 1)}
+    assert got == want
+
+
+def test_passages_against_plain_loops(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    seen, want = set(), {}
+    for doc, text in sorted(df.collect()):
+        lines = [line for _, line in line_dedup.numbered_lines(text)]
+        gone = set()
+        for size in (1, 2, 3):
+            for k in range(len(lines) - size + 1):
+                run = tuple(lines[k : k + size])
+                long = sum(map(len, run)) >= line_dedup.MIN_CHARS
+                if long if size in (3, len(lines)) else sum(len(x.split()) for x in run) >= 20:
+                    gone |= set(range(k, k + size)) if run in seen else set()
+                    seen.add(run)
+        want[doc] = len(gone)
+    done = line_dedup.dedup_lines(df, passage_words=line_dedup.PASSAGE_WORDS).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in done} == want
+
+
 def test_line_rules(spark):
     good = "This is a sentence of quite a few words that ends as it should do here."
     more = "Another one follows with other words and it has an end of its own as well."
