@@ -1,24 +1,27 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are made from one template. Each page is parsed into a tree of its
-elements. One page per host, the one with the smallest id, is the reference; the trees of the
-other pages are aligned with it by simple tree matching, which finds the largest mapping that
-keeps parents and order. A place of the reference whose text is the same in most pages that
+Pages of one host are made from one template, or from one per layout. Each page is parsed into
+a tree of its elements. The pages of a host are one group; those with the same paths of element
+names down to depth ``UPPER`` are a group too, and those with the same paths at all depths. In
+each group the page with the smallest id that has a text that may be template is the
+reference; the trees of the group's pages are aligned with it by simple tree matching, which
+finds the largest mapping that keeps parents and order. Groups often share a reference, and a
+page is aligned once with each of its references; each group judges by its own pages. A place of the reference whose text is the same in most pages that
 have it is template; a place whose text varies is a slot, and slots are content. Menus,
 adverts and the like vary too, so the roles that elements declare (name, class, id, role)
 also make an element and what is in it template. If a page has an article, or else a main
 element, only what is in it is content.
 
-Pages with equal content count once in the template, so copies of an article do not become
+Pages with equal content count once in a group, so copies of an article do not become
 one. Inside an article only short texts can be template.
 
-The steps: parse each page into a compact tree; join the trees with their host's reference
-and align; count, per host and place, aligned and equal texts; list the template places of
+The steps: parse each page into a compact tree; join the trees with their references
+and align; count, per group and place, aligned and equal texts; list the template places of
 each page; extract. HTML is shuffled only for pages that have template places outside
 elements with a declared role.
 
-Defined results: a null or empty page has an empty text. Pages without a URL, or without a
-host in it, share one host. Rows with the same id on the same host are one page for the
+Defined results: a null or empty page has an empty text and is no reference. Pages without a URL, or without a
+host in it, share one host, and so one group, but groups of layouts as well. Rows with the same id on the same host are one page for the
 template. Unclosed and stray tags are read as browsers do in the common cases (paragraphs and
 list items end where the next begins).
 """
@@ -31,7 +34,7 @@ from collections import Counter
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from placeleads.llm.common import add_columns, cut_lineage, split_by_key
@@ -39,6 +42,7 @@ from placeleads.llm.common import add_columns, cut_lineage, split_by_key
 MIN_PAGES = 4  # aligned pages that a place needs to be judged
 SHARE = 60  # percent of them with equal text that make it template
 SHORT = 200  # characters of a text that can be template inside an article
+UPPER = 4  # depth of the element names that tell layouts apart; the body's children are at 3
 MAX_CELLS = 1 << 18  # of an alignment table; longer lists are aligned one by one, in order
 
 # Elements by role.
@@ -191,6 +195,22 @@ def skeleton(root: Node) -> tuple[list[tuple[int, str, int, bool]], int]:
     return rows, whole.intdigest() >> 1
 
 
+def layouts(rows: list) -> tuple[int, int]:
+    """Hashes of the paths of element names that a skeleton has: down to ``UPPER``, and all.
+    How often a path occurs does not count, so lists of any length are alike."""
+    path: list[int] = []
+    upper: set[int] = set()
+    every: set[int] = set()
+    for depth, tag, *_ in rows:
+        del path[depth:]
+        above = path[-1] if path else 0
+        path.append(xxhash.xxh3_64_intdigest(f"{above}/{tag}".encode("utf-8", "surrogatepass")))
+        every.add(path[-1])
+        if depth <= UPPER:
+            upper.add(path[-1])
+    return sum(upper) & (1 << 63) - 1, sum(every) & (1 << 63) - 1
+
+
 def _shape(rows: list) -> tuple[list[list[int]], list[int], list[int]]:
     """Children, subtree sizes and shape hashes of the elements of a skeleton."""
     children: list[list[int]] = [[] for _ in rows]
@@ -340,21 +360,32 @@ def _host(url: str):
 
 
 _ROW = pa.struct([("depth", pa.int32()), ("tag", pa.string()), ("text", pa.int64()), ("may", pa.bool_())])
+_GROUP = pa.struct([("group", pa.int64()), ("counted", pa.bool_())])
+_GROUPS = "array<struct<group:bigint,counted:boolean>>"
 _TREE = "array<struct<depth:int,tag:string,text:bigint,may:boolean>>"
 
 
 def _trees(pages: DataFrame) -> DataFrame:
-    """Compact tree and content hash per page."""
+    """Compact tree, content and layout hashes per page, and whether it can be a reference."""
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        trees, wholes = [], []
+        trees, wholes, kinds, full = [], [], [], []
         for page in batch.column("html"):
             rows, whole = skeleton(parse(page.as_py()))
             trees.append([dict(zip(("depth", "tag", "text", "may"), r, strict=True)) for r in rows])
             wholes.append(whole)
-        return {"tree": pa.array(trees, pa.list_(_ROW)), "content": pa.array(wholes, pa.int64())}
+            kinds.append(layouts(rows))
+            full.append(any(text and may for _, _, text, may in rows))
+        return {
+            "tree": pa.array(trees, pa.list_(_ROW)),
+            "content": pa.array(wholes, pa.int64()),
+            "upper": pa.array([k[0] for k in kinds], pa.int64()),
+            "every": pa.array([k[1] for k in kinds], pa.int64()),
+            "full": pa.array(full, pa.bool_()),
+        }
 
-    return add_columns(pages, add, f"tree {_TREE};content bigint")
+    added = f"tree {_TREE};content bigint;upper bigint;every bigint;full boolean"
+    return add_columns(pages, add, added)
 
 
 def _aligned(joined: DataFrame) -> DataFrame:
@@ -364,26 +395,26 @@ def _aligned(joined: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             out, shapes = [], {}
-            for page, host, counted, tree, reference in zip(
-                *(batch.column(c).to_pylist() for c in ("key", "host", "counted", "tree", "reference")),
+            for page, ref, groups, tree, reference in zip(
+                *(batch.column(c).to_pylist() for c in ("key", "ref", "groups", "tree", "reference")),
                 strict=True,
             ):
                 mine = [(r["depth"], r["tag"], r["text"], r["may"]) for r in tree]
-                if host not in shapes:
-                    shapes = {host: [(r["depth"], r["tag"], r["text"], r["may"]) for r in reference]}
-                model = shapes[host]
+                if ref not in shapes:
+                    shapes = {ref: [(r["depth"], r["tag"], r["text"], r["may"]) for r in reference]}
+                model = shapes[ref]
                 for x, y in match(mine, model):
                     if model[y][2] and model[y][3]:
                         equal = mine[x][2] == model[y][2] and mine[x][3]
-                        out.append((page, host, counted, x, y, equal))
-            columns = list(zip(*out, strict=True)) if out else [[] for _ in range(6)]
-            kinds = (pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_())
+                        out.append((page, groups, x, y, equal))
+            columns = list(zip(*out, strict=True)) if out else [[] for _ in range(5)]
+            kinds = (pa.int64(), pa.list_(_GROUP), pa.int32(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["key", "host", "counted", "node", "place", "equal"],
+                ["key", "groups", "node", "place", "equal"],
             )
 
-    schema = "key bigint, host string, counted boolean, node int, place int, equal boolean"
+    schema = f"key bigint, groups {_GROUPS}, node int, place int, equal boolean"
     return joined.mapInArrow(run, schema)
 
 
@@ -391,28 +422,70 @@ def template_places(pages: DataFrame) -> DataFrame:
     """``(key, template)``: per page the numbers of its template elements, for pages that
     have any. ``pages`` has ``key``, ``page``, ``host`` and ``html``."""
     trees = cut_lineage(_trees(pages).drop("html"), "trees")
-    counted = trees.groupBy("host", "content").agg(F.min("key").alias("first"))
-    first = cut_lineage(trees.groupBy("host").agg(F.min(F.struct("page", "key")).alias("r")), "references")
-    chosen = first.select("host", F.col("r.key").alias("key"))
+    # The first page of a content per group; the smallest key of the layouts within.
+    firsts = trees.groupBy("host", "content", "upper", "every").agg(F.min("key").alias("first_every"))
+    same = Window.partitionBy("host", "content")
+    firsts = firsts.select(
+        "*",
+        F.min("first_every").over(same).alias("first_host"),
+        F.min("first_every").over(same.partitionBy("host", "content", "upper")).alias("first_upper"),
+    )
+
+    def group(name: str, *parts):
+        counted = F.col("key") == F.col(f"first_{name}")
+        return F.struct(F.xxhash64(F.lit(name), *parts).alias("group"), counted.alias("counted"))
+
+    groups = F.array(
+        group("host", "host"), group("upper", "host", "upper"), group("every", "host", "upper", "every")
+    )
+    marked = trees.join(
+        cut_lineage(firsts, "contents"), ["host", "content", "upper", "every"]
+    ).select("key", "page", "tree", "full", groups.alias("groups"))
+    members = marked.select("key", "page", "full", F.inline("groups").alias("group", "counted"))
+    # In a group of fewer pages no place can be judged.
+    chosen = cut_lineage(
+        members.groupBy("group")
+        .agg(
+            F.min(F.when(F.col("full"), F.struct("page", "key"))).alias("r"),
+            F.count_if("counted").alias("n"),
+            F.count("*").alias("rows"),
+        )
+        .where(F.col("r").isNotNull() & (F.col("n") >= MIN_PAGES))
+        .select("group", F.col("r.key").alias("ref"), "rows")
+        # Groups with the same reference lie one in the other: of equal size, they are one.
+        .groupBy("ref", "rows")
+        .agg(F.min("group").alias("group"))
+        .select("group", "ref"),
+        "references",
+    )
     references = cut_lineage(
-        trees.join(chosen, ["host", "key"])
-        .groupBy("host")
-        .agg(F.first("tree").alias("reference")),
+        trees.join(chosen.select(F.col("ref").alias("key")).distinct(), "key")
+        .groupBy("key")
+        .agg(F.first("tree").alias("reference"))
+        .withColumnRenamed("key", "ref"),
         "reference-trees",
     )
-    marked = trees.join(cut_lineage(counted, "contents"), ["host", "content"]).select(
-        "key", "host", "tree", (F.col("key") == F.col("first")).alias("counted")
+    own = (
+        members.join(chosen, "group")
+        .groupBy("key", "ref")
+        .agg(F.collect_set(F.struct("group", "counted")).alias("groups"))
     )
-    places = cut_lineage(_aligned(marked.join(references, "host")), "aligned")
+    marked = marked.select("key", "tree").join(cut_lineage(own, "page-references"), "key")
+    places = cut_lineage(_aligned(marked.join(references, "ref")), "aligned")
     constant = (
-        places.where("counted")
-        .groupBy("host", "place")
+        places.select("place", "equal", F.inline("groups").alias("group", "counted"))
+        .where("counted")
+        .groupBy("group", "place")
         .agg(F.count("*").alias("n"), F.count_if("equal").alias("equal"))
         .where((F.col("n") >= MIN_PAGES) & (F.col("equal") * 100 >= F.col("n") * SHARE))
-        .select("host", "place")
+        .select("group", "place")
     )
     constant = cut_lineage(constant, "template")
-    found = places.where("equal").join(constant, ["host", "place"])
+    found = (
+        places.where("equal")
+        .select("key", "node", "place", F.inline("groups").alias("group", "counted"))
+        .join(constant, ["group", "place"])
+    )
     return found.groupBy("key").agg(F.collect_set("node").alias("template"))
 
 

@@ -331,6 +331,30 @@ def test_template_goes_and_slots_stay(spark):
     assert got[20] == "T 0\n\none two é\n\nthree" and got[40] == "" and got[41] == ""
 
 
+def test_an_empty_first_page_and_other_layouts_do_not_end_the_template(spark):
+    one = "<body><div>Welcome</div><section><p>story {0}</p><p>Read more</p></section></body>"
+    two = "<body><section><div>Our shop</div><ul><li>item {0}</li><li>Buy now</li></ul></section></body>"
+    deep = "<body><section><div><b><i>Top</i></b><u><i>thing {0}</i></u></div></section></body>"
+    rows = [(0, "http://a/", ""), (1, "http://a/x", None), (2, "http://a/y", "<body><p>alone</p></body>")]
+    for k, (kind, host) in enumerate([(one, "http://a/"), (two, "http://a/"), (deep, "http://a/"), (two, None), (one, None)]):
+        rows += [(10 * k + 10 + i, host, kind.format(i)) for i in range(5)]
+    done = page_wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r[0]: r[2] for r in done.collect()}
+    names = ["story", "item", "thing", "item", "story"]
+    assert [got[10 * k + 10 + i] for k in range(5) for i in range(5)] == [f"{n} {i}" for n in names for i in range(5)]
+    assert (got[0], got[1], got[2]) == ("", "", "alone")
+
+
+def test_one_layout_does_not_hide_the_template_of_another(spark):
+    first = "<body><section><p>Welcome</p><p>story {0}</p></section></body>"
+    other = "<body><section><p>thing {0}</p></section><ul><li>Our shop</li></ul></body>"
+    rows = [(i, "http://a/", first.format(i)) for i in range(5)]
+    rows += [(10 + i, "http://a/", other.format(i)) for i in range(20)]
+    done = page_wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r[0]: r[2] for r in done.collect()}
+    assert got == {**{i: f"story {i}" for i in range(5)}, **{10 + i: f"thing {i}" for i in range(20)}}
+
+
 @pytest.mark.parametrize("html", ["<div>" * 20_000, "<p>" * 50_000, "<a '" * 50_000, "<!--" * 50_000, "</i><b>" * 30_000])
 def test_hostile_pages_take_linear_time(html):
     started = time.time()
