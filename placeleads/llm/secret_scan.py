@@ -2,7 +2,8 @@
 
 Patterns give the base spans ``assign``, ``access`` and ``hex``. The battery looks at every
 run of at least ``MIN_LENGTH`` characters that keys are written in and that no base span
-touches. From its characters an encoding is inferred (base 16, 32 or 64), which fixes the
+touches. ``=`` belongs to a run only as padding at its end, so the value after ``NAME=`` is a
+run of its own. From its characters an encoding is inferred (base 16, 32 or 64), which fixes the
 alphabet. Three tests then ask how likely ordinary text is to look this random:
 
 * uniformity: the chi-squared statistic over the alphabet, here as the share of equal pairs
@@ -47,7 +48,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _WORDS = ("passw", "secret", "token", "api")  # one is in every match of the first
-_TOKEN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}+")
+_KEY = "[A-Za-z0-9+/_-]"
+# The look ahead only saves time; a name before "=" may still be shorter than MIN_LENGTH.
+_TOKEN = re.compile(rf"(?<!{_KEY})(?=[A-Za-z0-9+/_=-]{{{MIN_LENGTH}}}){_KEY}{{4,}}+(?:=++(?!{_KEY}))?")
 
 # Encodings from narrow to wide: characters, size of the alphabet, and for ordinary text in
 # it the chance that two characters, and that three, are equal.
@@ -151,6 +154,8 @@ def tokens(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int,
     ordered = sorted((start, stop) for _, start, stop in base)
     for m in _TOKEN.finditer(text):
         start, stop = m.span()
+        if stop - start < MIN_LENGTH:
+            continue
         while at < len(ordered) and ordered[at][1] <= start:
             at += 1
         if any(a < stop and start < b for a, b in ordered[max(at - 3, 0) : at + 2]):

@@ -85,6 +85,22 @@ def test_randomness_tests_find_keys_and_leave_words(spark):
     assert spans[5] == [("assign", 0, 18)]
 
 
+def test_values_after_an_equals_sign_are_found(spark):
+    rng = random.Random(11)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(alphabet, k=n)) for n in (64, 64, 62, 18, 64)]
+    texts = [
+        f"SIGNING_KEY={keys[0]}\n", f"http://a.b/c?x=1&sig={keys[1]}&y=2", f"a {keys[2]}== b",
+        f"k={keys[3]}==", f"A_NAME_OF_TWENTY_OR_MORE={keys[4]}=", "a_name=" + "=" * 30, "=" * 50,
+    ]
+    found = [[t[a:b] for a, b, *_ in secret_scan.tokens(t, [])] for t in texts]
+    assert found[:4] == [[keys[0]], [keys[1]], [f"{keys[2]}=="], [f"{keys[3]}=="]]
+    assert found[4] == ["A_NAME_OF_TWENTY_OR_MORE", f"{keys[4]}="]
+    df = spark.createDataFrame(list(enumerate(texts[:3])), "doc_id long, text string")
+    spans = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["stop"]] for s in r["spans"]] for r in secret_scan.find_secrets(df).collect()}
+    assert spans == {0: [keys[0]], 1: [keys[1]], 2: [f"{keys[2]}=="]}
+
+
 def test_thresholds_follow_benjamini_hochberg(spark):
     rng = random.Random(2)
     tokens = [(b, rng.choice([0, 5, 90, 180, 400])) for b in (0, 1, 1, 3) for _ in range(40)]
