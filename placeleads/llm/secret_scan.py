@@ -11,7 +11,12 @@ alphabet. Three tests then ask how likely ordinary text is to look this random:
 * runs: changes between lower case, upper case, digits and signs against their rate in text;
 * serial correlation of neighbouring characters against that of ordered or repeated ones.
 
-A token must pass all three, so its p-value is the largest. Which p-values count is decided
+The tests add up: the product of independent p-values has a known distribution (Fisher), which
+gives one p-value. Ordinary tokens are of two sorts, and a token must look random against both:
+words, also joined by signs or capitals, whose characters are unevenly used and change class
+with each joint (uniformity and runs); and ordered characters, which may all differ (serial
+correlation and runs). A token at least as correlated as ordered ones is one of them. Only
+tokens of the wide alphabet can be joined words; the others change class more rarely. Which p-values count is decided
 over the whole corpus: within each band of lengths the Benjamini-Hochberg rule keeps the
 expected share of false finds under ``RATE``. Short tokens have weak tests and many chance
 candidates, long ones neither, so bands are controlled apart. The rule needs the number of
@@ -61,6 +66,7 @@ _ENCODINGS = (
     (re.compile(r"[A-Za-z0-9+/_-]+"), (64, 0.066, 0.0056)),
 )
 CHANGE_RATE = 0.05  # changes of character class per place in ordinary text
+JOINED_RATE = 2 / 7  # the same in words of about six letters joined by signs or capitals
 CORRELATION = 0.5  # of neighbouring characters in ordered text
 MAX_LEVEL = 30_000
 
@@ -84,17 +90,17 @@ def _char_class(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def _runs(token: str) -> float:
+def _runs(token: str, rate: float) -> float:
     """Chance of at least as many changes in text, by the exact tail if it is short."""
     classes = [_char_class(c) for c in token]
     places = len(token) - 1
     changes = sum(a != b for a, b in zip(classes, classes[1:], strict=False))
-    mean = places * CHANGE_RATE
+    mean = places * rate
     if places > 200:
-        return _normal_tail(-(changes - 0.5 - mean) / math.sqrt(mean * (1 - CHANGE_RATE)))
+        return _normal_tail(-(changes - 0.5 - mean) / math.sqrt(mean * (1 - rate)))
     return min(
         sum(
-            math.comb(places, k) * CHANGE_RATE**k * (1 - CHANGE_RATE) ** (places - k)
+            math.comb(places, k) * rate**k * (1 - rate) ** (places - k)
             for k in range(changes, places + 1)
         ),
         1.0,
@@ -112,6 +118,12 @@ def _serial(token: str) -> float:
     return _normal_tail((math.atanh(r) - math.atanh(CORRELATION)) * math.sqrt(n - 3))
 
 
+def _both(p: float, q: float) -> float:
+    """Chance that the product of two independent p-values is at most this."""
+    product = p * q
+    return min(product * (1 - math.log(product)), 1.0) if product > 0 else 0.0
+
+
 def p_value(token: str) -> float | None:
     """How likely text is to look as random; none for plain numbers and other characters."""
     core = token.rstrip("=")
@@ -119,7 +131,12 @@ def p_value(token: str) -> float | None:
         if pattern.fullmatch(core):
             if alphabet is None or len(core) < 4:
                 return None
-            return max(_uniformity(core, alphabet), _runs(core), _serial(core))
+            serial = _serial(core)
+            if serial >= 0.5:
+                return 1.0
+            joined = JOINED_RATE if alphabet[0] == 64 else CHANGE_RATE
+            words = _both(_uniformity(core, alphabet), _runs(core, joined))
+            return max(words, _both(serial, _runs(core, CHANGE_RATE)))
     return None
 
 

@@ -101,6 +101,26 @@ def test_values_after_an_equals_sign_are_found(spark):
     assert spans == {0: [keys[0]], 1: [keys[1]], 2: [f"{keys[2]}=="]}
 
 
+@pytest.mark.parametrize("length,least", [(20, 0.6), (24, 0.8), (32, 0.9), (40, 0.95)])
+def test_planted_keys_are_found_among_many_ordinary_tokens(spark, length, least):
+    rng = random.Random(length)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    words = [w.lower() for r in docs for w in (r["text"] or "").split() if w.isascii() and w.isalpha() and len(w) > 2]
+
+    def ordinary():
+        some = rng.choices(words, k=length // 2)
+        glue = rng.choice(["", "", "-", "_", "/", None])
+        return ("".join(w.capitalize() for w in some) if glue is None else glue.join(some))[:length]
+
+    keys = {f"{''.join(rng.choices(alphabet, k=length))}" for _ in range(200)}
+    texts = list(keys) + [ordinary() for _ in range(1800)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [texts[r["doc_id"]] for r in secret_scan.find_secrets(df).where(F.size("spans") > 0).collect()]
+    assert sum(t in keys for t in found) >= least * len(keys)
+    assert sum(t not in keys for t in found) <= 0.1 * len(found)
+
+
 def test_thresholds_follow_benjamini_hochberg(spark):
     rng = random.Random(2)
     tokens = [(b, rng.choice([0, 5, 90, 180, 400])) for b in (0, 1, 1, 3) for _ in range(40)]
