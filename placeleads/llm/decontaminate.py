@@ -4,8 +4,12 @@ The index is spread like the documents: every task stores, for its shard of docu
 postings (positions) of all terms that the benchmark uses. The benchmark's windows go to all
 shards. A window is looked up from its rarest term in the shard: that term's positions,
 shifted to the window's start, are intersected with the shifted postings of the next rarest
-term and so on, until nothing or an exact phrase match is left. With a tolerance of ``slop``
-words on each shift the same intersection gives proximity matches.
+term and so on, until nothing or an exact phrase match is left.
+
+A proximity match is a start from which each word of the window lies at most ``slop`` words
+from its own place and at least one word, whichever, lies in its place. All starts within ``slop`` of the
+rarest term are tried against every other word, so the matches do not depend on which term is
+rarest, nor on how the documents are spread.
 
 No document leaves its partition and nothing is shuffled. The benchmark is broadcast in
 blocks of at most ``BLOCK_BYTES`` of text (a single item may be larger); a larger benchmark
@@ -87,15 +91,16 @@ class Index:
         """Starts of exact matches, and of proximity matches, of a window of term numbers."""
         order = np.argsort(self.count[window], kind="stable")
         first = order[0]
-        near = self.postings(window[first]) - first
-        exact = near
+        exact = self.postings(window[first]) - first
+        near = np.unique(exact[:, None] + np.arange(-slop, slop + 1))
         for place in order[1:]:
             posting = self.postings(window[place])
             near = self._within(near, posting, place, slop)
             if not len(near):
                 return near, near
             exact = self._within(exact, posting, place, 0)
-        return exact, near
+        in_place = [self._within(near, self.postings(t), place, 0) for place, t in enumerate(window)]
+        return exact, np.unique(np.concatenate(in_place))
 
     @staticmethod
     def _within(starts: np.ndarray, posting: np.ndarray, place: int, slop: int) -> np.ndarray:

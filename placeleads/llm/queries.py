@@ -100,6 +100,17 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op6_proximity(spark, sf_dir):
+    """Items with a match within the tolerance, exact ones included."""
+    found = decontaminate.find_benchmark(_texts(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("near").cast("long").alias("n_near"),
+        F.sha2(F.array_join("near", ",").cast("binary"), 256).alias("near_sha256"),
+    )
+
+
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.join_ngrams(_texts(spark, sf_dir))
 
@@ -142,6 +153,7 @@ LLM_QUERIES = {
         op5_line_dedup,
         op5_passage_dedup,
         op6_decontamination,
+        op6_proximity,
         op7_ngram_join,
         op8_pii,
         op9_factor_dedup,

@@ -21,6 +21,7 @@ from placeleads.llm import (
     secret_scan,
 )
 from placeleads.llm import sentencepiece_nbest as sp
+from placeleads.llm.queries import LLM_QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -253,6 +254,36 @@ def test_proximity_matches_allow_moved_words(spark):
     assert [rows[i]["near"] for i in (1, 2, 3)] == [["1"], ["1"], []]
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_proximity_against_brute_force_over_partitions(spark, parts):
+    rng = random.Random(12)
+    docs = [(i, " ".join(rng.choices("abcdefgh", k=rng.randint(0, 25)))) for i in range(80)]
+    docs += [(90, "a x x b c x x d"), (91, "a a a a a a"), (92, "d d d d d")]
+    items = [(i, " ".join(rng.choices("abcdefgh", k=n))) for i, n in enumerate((2, 3, 4, 5, 6, 6, 7, 8))]
+    items += [(20, "a b c d"), (21, "a")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def near(text, item):
+        ws, want = text.split(), item.split()
+        return any(
+            all(w in ws[max(s + j - 2, 0) : max(s + j + 3, 0)] for j, w in enumerate(want))
+            and any(0 <= s + j < len(ws) and ws[s + j] == w for j, w in enumerate(want))
+            for s in range(-2, len(ws) + 2)
+        )
+
+    rows = {r["doc_id"]: r["near"] for r in decontaminate.find_benchmark(df, bench).collect()}
+    assert rows == {d: sorted(str(i) for i, t in items if near(text, t)) for d, text in docs}
+    assert "20" in rows[90]
+
+
+def test_the_proximity_query_gives_the_near_items(spark):
+    got = LLM_QUERIES["op6_proximity"](spark, "/root/testdata/sf0.001").collect()
+    both = LLM_QUERIES["op6_decontamination"](spark, "/root/testdata/sf0.001").collect()
+    exact = {r["doc_id"]: r["n_items"] for r in both}
+    assert all(r["n_near"] >= exact[r["doc_id"]] for r in got) and len(got) == len(both)
+
+
 def test_fingerprints_cover_every_window():
     rng = random.Random(7)
     text = "\n".join(rng.choices(["one line", "two lines", "", "three"], k=80))
