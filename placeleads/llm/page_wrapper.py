@@ -32,6 +32,7 @@ import html
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -43,7 +44,7 @@ MIN_PAGES = 4  # aligned pages that a place needs to be judged
 SHARE = 60  # percent of them with equal text that make it template
 SHORT = 200  # characters of a text that can be template inside an article
 UPPER = 4  # depth of the element names that tell layouts apart; the body's children are at 3
-MAX_CELLS = 1 << 18  # of an alignment table; longer lists are aligned one by one, in order
+MAX_CELLS = 1 << 18  # of an alignment table that is kept; longer lists are aligned in linear space
 
 # Elements by role.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -260,6 +261,44 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
             rows.append(row)
         return rows
 
+    def last_row(left: list, right: list) -> np.ndarray:
+        """Last row of the table, a row at a time; weights are taken per pair of shapes."""
+        kinds: dict[int, list[int]] = {}
+        for j, y in enumerate(right):
+            kinds.setdefault(shape_b[y], []).append(j)
+        per_shape: dict[int, np.ndarray] = {}
+        row = np.zeros(len(right) + 1, np.int64)
+        for x in left:
+            weighed = per_shape.get(shape_a[x])
+            if weighed is None:
+                weighed = np.zeros(len(right), np.int64)
+                for places in kinds.values():
+                    if a[x][1] == b[right[places[0]]][1]:
+                        weighed[places] = weight(x, right[places[0]])
+                if len(per_shape) * len(right) < MAX_CELLS:
+                    per_shape[shape_a[x]] = weighed
+            row[1:] = np.maximum(row[1:], row[:-1] + weighed)
+            np.maximum.accumulate(row, out=row)
+        return row
+
+    def long_pairs(left: list, right: list) -> list[tuple[int, int]]:
+        """Pairs of the largest mapping of two lists in linear space (Hirschberg)."""
+        pairs, parts = [], [(left, right)]
+        while parts:
+            p, q = parts.pop()
+            if not p or not q:
+                continue
+            if len(p) == 1:
+                best, y = max(((weight(p[0], y), -y) for y in q if a[p[0]][1] == b[y][1]), default=(0, 0))
+                if best:
+                    pairs.append((p[0], -y))
+                continue
+            half = len(p) // 2
+            rest = last_row(p[half:][::-1], q[::-1])[::-1]
+            cut = int(np.argmax(last_row(p[:half], q) + rest))
+            parts += [(p[:half], q[:cut]), (p[half:], q[cut:])]
+        return pairs
+
     def weight(x: int, y: int) -> int:
         if shape_a[x] == shape_b[y]:
             return size_a[x]
@@ -267,7 +306,9 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
         if got is None:
             ends, left, right = split(x, y)
             got = 1 + sum(size_a[p] for p, _ in ends)
-            if left and right and len(left) * len(right) <= MAX_CELLS:
+            if len(left) * len(right) > MAX_CELLS:
+                got += int(last_row(left, right)[-1])
+            elif left and right:
                 got += table(left, right)[-1][-1]
             weights[(x, y)] = got
         return got
@@ -282,12 +323,7 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
         if not left or not right:
             continue
         if len(left) * len(right) > MAX_CELLS:
-            rest = iter(right)
-            for p in left:
-                q = next((q for q in rest if b[q][1] == a[p][1]), None)
-                if q is None:
-                    break
-                todo.append((p, q))
+            todo += long_pairs(left, right)
             continue
         rows = table(left, right)
         i, j = len(left), len(right)

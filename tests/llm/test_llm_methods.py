@@ -383,6 +383,36 @@ def test_simple_tree_matching_against_the_plain_recursion():
         assert all(a[x][1] == b[y][1] for x, y in pairs) and len({x for x, _ in pairs}) == len(pairs)
 
 
+def _list_page(rng, n):
+    rows = [(0, "", 0, True), (1, "ul", 0, True)]
+    for _ in range(n):
+        rows.append((2, rng.choice(["li", "li", "p"]), 1, True))
+        rows += [(3, rng.choice("abi"), 1, True)] * rng.randint(0, 2)
+    return rows
+
+
+def test_long_lists_are_aligned_as_short_ones():
+    rng = random.Random(13)
+    cells = page_wrapper.MAX_CELLS
+    for n in (1, 2, 5, 30, 60):
+        a, b = _list_page(rng, n), _list_page(rng, rng.randint(1, 2 * n))
+        want = len(page_wrapper.match(a, b))
+        try:
+            page_wrapper.MAX_CELLS = 0
+            pairs = page_wrapper.match(a, b)
+        finally:
+            page_wrapper.MAX_CELLS = cells
+        assert len(pairs) == want and all(a[x][1] == b[y][1] for x, y in pairs)
+        assert [y for _, y in sorted(pairs)] == sorted({y for _, y in pairs})
+
+
+def test_a_child_without_a_partner_does_not_end_a_list_of_a_thousand():
+    names = [f"t{i % 7}" for i in range(1000)]
+    page = [(0, "", 0, True), (1, "x0", 1, True), *((1, t, 1, True) for t in names), (1, "x1", 1, True)]
+    model = [(0, "", 0, True), (1, "y0", 1, True), *((1, t, 1, True) for t in names), (1, "y1", 1, True)]
+    assert len(page_wrapper.match(page, model)) == 1001
+
+
 def test_template_goes_and_slots_stay(spark):
     page = (
         "<html><body><div>Welcome to our site</div><section><p>story {0} &amp; more</p><p>Share  this</p>"
