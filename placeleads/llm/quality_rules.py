@@ -2,9 +2,10 @@
 
 Each line of a text is judged on its own by three rules:
 
-* punctuation: too many characters of the line are symbols or exclamation marks, or too
-  many of its words end in one;
-* navigation: the line is a bar of short items between ``|`` or similar separators;
+* punctuation: too many characters of the line are symbols or exclamation marks; with
+  ``max_mark_ends`` also if too many of its words end in one;
+* navigation: the line has ``min_bars`` of ``|``; with ``max_item_words`` instead as many of
+  ``|``, ``>``, ``»`` or dots in the middle, and no item between them is longer;
 * boilerplate: the line holds one of the fixed phrases of licences, cookie notices, and
   the like.
 
@@ -50,6 +51,7 @@ BOILERPLATE = (
 # The symbols that are counted, for the base and for the punctuation rule.
 SYMBOLS = "[#*$%&|<>]"
 MARKS = "[#*$%&<>!]"
+SEPARATORS = "[|>»›·•]"
 
 
 @dataclass(frozen=True)
@@ -62,6 +64,8 @@ class Rules:
     max_marks: int = 20
     min_bars: int = 3
     max_lost: int = 50
+    max_mark_ends: int | None = None  # percent of a line's words; none: not evaluated
+    max_item_words: int | None = None  # of an item in a bar; none: bars are counted only
 
 
 def _repeated_words(words: Column, window: int) -> Column:
@@ -108,14 +112,24 @@ def _line_fails(line: Column, rules: Rules) -> Column:
     chars = F.char_length(F.regexp_replace(line, r"[\x20\x09-\x0D]+", ""))
     marks = F.regexp_count(line, F.lit(MARKS))
     bars = F.regexp_count(line, F.lit(r"\|"))
+    bar = F.contains(line, F.lit("|")) & (bars >= rules.min_bars)
+    if rules.max_item_words is not None:
+        items = F.transform(F.split(line, SEPARATORS), lambda i: F.regexp_count(i, F.lit(WORD)))
+        short = F.forall(items, lambda n: n <= rules.max_item_words)
+        bar = (F.regexp_count(line, F.lit(SEPARATORS)) >= rules.min_bars) & short
+    ends = F.lit(False)
+    if rules.max_mark_ends is not None:
+        ended = F.regexp_count(line, F.lit(MARKS + r"(?=[\x20\x09-\x0D]|\z)"))
+        ends = ended * 100 > F.regexp_count(line, F.lit(WORD)) * rules.max_mark_ends
     low = F.lower(line)
     phrase = F.lit(False)
     for part in BOILERPLATE:
         phrase = phrase | F.contains(low, F.lit(part))
     return (
         (F.rlike(line, F.lit(MARKS)) & (marks * 100 > chars * rules.max_marks))
-        | (F.contains(line, F.lit("|")) & (bars >= rules.min_bars))
+        | bar
         | phrase
+        | ends
     )
 
 

@@ -336,6 +336,17 @@ def test_line_rules(spark):
     assert got[3]["base_failed"]
 
 
+def test_rules_of_word_ends_and_of_short_items(spark):
+    prose = "This long line of a table has many words | and so has the second cell | and the third one too | end"
+    bad = ["Home > News > Sport > Football", "Home » Shop » Cart » Pay", "A · B · C · D", "Home | News | Sport | More"]
+    shout = "wonderful! marvellous! incredible! things happen"
+    good = ["five is more than four", "a > b in the first of all these rows", prose]
+    text = "\n".join([*bad, *good, shout])
+    df = spark.createDataFrame([(text,)], "text string")
+    rules = quality_rules.Rules(max_mark_ends=50, max_item_words=4)
+    assert quality_rules.judge(df, rules=rules).first()["clean_text"] == "\n".join(good)
+
+
 def test_classifier_beats_the_majority_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
