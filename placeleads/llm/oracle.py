@@ -1,5 +1,6 @@
 """The same results in SQL, where SQL can express them."""
 
+from placeleads.llm.fingerprints import BASE, PRIME, SECOND_BASE, UNITS
 from placeleads.llm.quality_rules import BOILERPLATE
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -206,6 +207,118 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted
 """
 
+# The checksum is CRC-32, worked out per distinct unit with the usual table of bytes.
+OP11 = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id),
+                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS following
+  FROM documents
+), texts AS (
+  SELECT doc_id, 0 AS kind, t FROM docs UNION ALL
+  SELECT doc_id, 1, substring(t, 1, length(t) - length(t) // 2) || substring(following, 1, length(t) // 2)
+  FROM docs
+), bytes AS (
+  SELECT list(c ORDER BY i) AS codes FROM (
+    SELECT i, list_reduce(range(8), lambda c, n: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+                                                       ELSE c >> 1 END, i) AS c
+    FROM range(256) r(i))
+), split AS (
+  SELECT doc_id, kind, regexp_extract_all(t, '{UNITS}') AS units FROM texts
+), unit AS (
+  SELECT doc_id, kind, len(units) AS n, unnest(units) AS u, generate_subscripts(units, 1) - 1 AS i
+  FROM split
+), sums AS (
+  SELECT u, xor(list_reduce(
+              list_transform(range(strlen(u)), lambda b: ('0x' || substring(hex(u), 2 * b + 1, 2))::BIGINT),
+              lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)
+            % {PRIME - 1} + 1 AS code
+  FROM (SELECT DISTINCT u FROM unit), bytes
+), rolled AS (
+  SELECT doc_id, kind, n, i,
+         coalesce(lead(code, 1) OVER d, 0) AS c1, coalesce(lead(code, 2) OVER d, 0) AS c2, code AS c0
+  FROM unit JOIN sums USING (u) WINDOW d AS (PARTITION BY doc_id, kind ORDER BY i)
+), grams AS (
+  SELECT doc_id, kind, greatest(n - 2, 1) AS grams, i,
+         ((((c0 * {BASE} + c1) % {PRIME}) * {BASE} + c2) % {PRIME}) * {PRIME + 1} + {PRIME} - i AS k,
+         (((c0 * {SECOND_BASE} + c1) % {PRIME}) * {SECOND_BASE} + c2) % {PRIME} AS more
+  FROM rolled WHERE i = 0 OR i + 2 < n
+), windows AS (
+  SELECT doc_id, kind, i, grams, min(k) OVER (
+    PARTITION BY doc_id, kind ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS k
+  FROM grams
+), chosen AS (
+  SELECT DISTINCT doc_id, kind, {PRIME} - k % {PRIME + 1} AS i FROM windows
+  WHERE i = 0 OR i + 3 < grams
+), marks AS (
+  SELECT doc_id, kind, i, g.k - g.k % {PRIME + 1} + g.more AS h
+  FROM chosen JOIN grams g USING (doc_id, kind, i)
+), prints AS (
+  SELECT b.doc_id, b.kind, any_value(t) AS t, coalesce(list(DISTINCT h) FILTER (h IS NOT NULL), []) AS hs,
+         coalesce(string_agg(hex(h) || ':' || i, ',' ORDER BY i) FILTER (h IS NOT NULL), '') AS print
+  FROM texts b LEFT JOIN marks m ON m.doc_id = b.doc_id AND m.kind = b.kind GROUP BY b.doc_id, b.kind
+), compared AS (
+  SELECT o.doc_id, o.t, e.t AS edited, o.print, e.print AS edited_print, o.hs AS a, e.hs AS b,
+         coalesce(lead(o.hs) OVER (ORDER BY o.doc_id), first_value(o.hs) OVER (ORDER BY o.doc_id)) AS c
+  FROM prints o JOIN prints e ON e.doc_id = o.doc_id AND e.kind = 1 WHERE o.kind = 0
+)
+SELECT doc_id, length(t) AS n_chars, sha256(edited) AS edited_sha256, print AS fingerprint,
+       edited_print AS edited_fingerprint,
+       CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE
+            ELSE 2 * len(list_intersect(a, b))::DOUBLE / (len(a) + len(b)) END AS near_edited,
+       CASE WHEN len(a) + len(c) = 0 THEN 1.0::DOUBLE
+            ELSE 2 * len(list_intersect(a, c))::DOUBLE / (len(a) + len(c)) END AS near_next
+FROM compared
+"""
+
+OP12 = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || doc_id) AS x FROM documents
+), cut AS (
+  SELECT doc_id, t, n, ('0x' || substring(x, 1, 8))::BIGINT % (n + 1) AS a,
+         ('0x' || substring(x, 9, 8))::BIGINT % (n + 1) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || substring(x, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substring(x, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, substring(t, 1, least(a, b)) AS p, substring(t, greatest(a, b) + 1) AS s,
+         substring(t, least(a, b) + 1, greatest(a, b) - least(a, b)) AS m FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN greatest(a, b) - least(a, b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+OP13 = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+         list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM vectors a JOIN vectors r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), inside AS (
+  SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM inside WHERE rank <= 10
+"""
+
 LLM_ORACLE = {
     "op5_line_dedup": OP5,
     "op6_decontamination": OP6,
@@ -213,4 +326,7 @@ LLM_ORACLE = {
     "op8_pii": OP8,
     "op9_factor_dedup": OP9,
     "op10_quality_rules": OP10,
+    "op11_fingerprints": OP11,
+    "op12_fill_in_middle": OP12,
+    "op13_hard_negatives": OP13,
 }

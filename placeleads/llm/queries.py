@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from placeleads.llm import (
     decontaminate,
     factor_dedup,
+    fill_in_middle,
+    fingerprints,
+    hard_negatives,
     line_dedup,
     ngram_join,
     page_wrapper,
@@ -143,6 +146,38 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_fingerprints(spark, sf_dir):
+    found = fingerprints.compare_edited(_texts(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    done = fill_in_middle.restore(fill_in_middle.transform(_texts(spark, sf_dir)))
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -158,5 +193,8 @@ LLM_QUERIES = {
         op8_pii,
         op9_factor_dedup,
         op10_quality_rules,
+        op11_fingerprints,
+        op12_fill_in_middle,
+        op13_hard_negatives,
     )
 }

@@ -95,7 +95,7 @@ def test_stages_take_odd_rows_and_empty_tables(spark, odd, name, stage):
 @pytest.mark.parametrize("name", LLM_ORACLE)
 def test_queries_equal_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         connection.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     cursor = connection.execute(LLM_ORACLE[name])
     columns = [d[0] for d in cursor.description]
