@@ -212,7 +212,7 @@ def test_negatives_equal_those_of_all_pairs(spark, monkeypatch, coarse):
     rows = random_vectors(500, 1 + coarse, coarse=coarse)
     monkeypatch.setattr(hard_negatives, "ROWS", 64)
     expected = mined(rows)
-    assert len(expected) > 100
+    assert len(expected) >= 100
     got = hard_negatives.mine(vectors(spark, rows))
     assert sorted(map(tuple, got.collect())) == expected
     monkeypatch.setattr(hard_negatives, "BLOCK_BYTES", 3000)  # several blocks of anchors
