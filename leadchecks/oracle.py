@@ -7,7 +7,14 @@ nothing with the library but the fixed values.
 from __future__ import annotations
 
 from leadchecks import fixtures
-from leadchecks.queries import DOCUMENT_PAGES, DOCUMENT_PHRASES, DOMAIN_END, LANGUAGE, LINK_MARK
+from leadchecks.queries import (
+    DOCUMENT_PAGES,
+    DOCUMENT_PHRASES,
+    DOMAIN_END,
+    LANGUAGE,
+    LINK_MARK,
+    STREAM_BATCHES,
+)
 from placeleads import constants as c
 from placeleads.functions.text import web_space
 
@@ -118,6 +125,11 @@ _CTES = {
       select * exclude (rank) from (select *, row_number() over
         (partition by lower(name) order by page_id) as rank from places where name is not null)
       where rank = 1 and not has_website and is_active""",
+    "branches": """
+      select * exclude (rank) from (select *, row_number() over
+        (partition by lower(name), lower(coalesce(address, '')) order by page_id) as rank
+        from places where name is not null)
+      where rank = 1 and not has_website and is_active""",
     "lookup_texts": f"""
       select lookup_id, lookup_query, concat({_VISIBLE}, coalesce(
         ' ' || nullif(regexp_extract(html, 'href="([^"]*)"', 1), ''), '')) as text
@@ -297,6 +309,12 @@ _PAGES_FIRST = f"""
       where name is not null) where rank = 1"""
 _DOC_EMAILS = "select distinct doc_id, email from (select doc_id, unnest(%s) as email from documents)"
 
+# Batches of the stream, by position between the first and the last page.
+_BATCH = (
+    "(page_id - (select min(page_id) from place_pages)) // "
+    f"((select max(page_id) - min(page_id) from place_pages) // {STREAM_BATCHES} + 1)"
+)
+
 ORACLE = {
     "page_scan": "select page_id, url, md5(html) as html_md5 from pages",
     "search_result_scan": _with("select * from result_links", "result_links"),
@@ -336,6 +354,23 @@ ORACLE = {
         "place_pages",
         "leads",
     ),
+    "stream_batches": _with(
+        f"select page_id, {_BATCH} as batch_id, {_PLACE} from leads", "place_pages", "leads"
+    ),
+    "stream_progress": _with(
+        f"select {_BATCH} as batch_id, count(*) as processed, "
+        "count(*) filter (where contains(url, '%ZZ')) as quarantined, "
+        "count(*) filter (where page_id in (select page_id from leads)) as found "
+        "from place_pages group by all",
+        "place_pages",
+        "leads",
+    ),
+    "stream_totals": _with("select count(*) as total_found, true as updated from leads", "leads"),
+    "stream_quarantine": _with(
+        "select page_id, url, 'malformed url' as reason from place_pages where contains(url, '%ZZ')",
+        "place_pages",
+    ),
+    "stream_branches": _with(f"select page_id, {_PLACE} from branches", "branches"),
     "stream_dedup": f"select page_id, name_key from ({_PAGES_FIRST})",
     "stream_append": _with(_SUMMARY + "enriched", "enriched"),
     "category_dim": "select s_suppkey, cast(j - 1 as int) as cat_seq, "

@@ -22,6 +22,7 @@ from placeleads.streaming import leads as streaming
 LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
 STREAM_SLICES = 3
+STREAM_BATCHES = 10
 DOCUMENT_PAGES = 50
 
 LANGUAGE = "^[a-z]+://[^/]+/([a-z]+)/"
@@ -153,7 +154,7 @@ def _run_stream(spark: SparkSession, pages: DataFrame, purpose: str, **options)
         arrived.select("page_id", "url", "html").write.mode("append").parquet(files)
         stream = page_source.stream_pages(spark, files)
         query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint", **options)
-        query.awaitTermination()
+        streaming.await_lead_stream(query)
     return store
 
 
@@ -177,7 +178,8 @@ def stream_resume(spark, sf_dir):
         files = new_work_dir(spark, "stream-resume-files")
         arrived.write.parquet(files)
         stream = page_source.stream_pages(spark, files)
-        streaming.start_lead_stream(stream, store, f"{store}/checkpoint-{turn}").awaitTermination()
+        query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint-{turn}")
+        streaming.await_lead_stream(query)
     return _flat(streaming.read_stream_leads(spark, store).select("page_id", *_PLACE_COLUMNS))
 
 
@@ -196,6 +198,56 @@ def stream_hooks(spark, sf_dir):
     return both.agg(*(F.sum(c).alias(c) for c in both.columns))
 
 
+def _run_batches(spark: SparkSession, pages: DataFrame, purpose: str, **options) -> tuple:
+    """All slices in one run of the stream, ``STREAM_BATCHES`` batches of a file each."""
+    files, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
+    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
+    step = (high - low) // STREAM_BATCHES + 1
+    for start in range(low, high + 1, step):
+        arrived = pages.where(F.col("page_id").between(start, start + step - 1))
+        arrived.select("page_id", "url", "html").coalesce(1).write.mode("append").parquet(files)
+    stream = page_source.stream_pages(spark, files, max_files=1)
+    query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint", **options)
+    streaming.await_lead_stream(query)
+    return store, query
+
+
+def stream_batches(spark, sf_dir):
+    """Ten batches of one run, then the small commits of the store made one."""
+    store, _ = _run_batches(spark, fixtures.place_pages(spark, sf_dir), "stream-batches")
+    streaming.stream_store(spark, store).compact()
+    found = streaming.read_stream_leads(spark, store)
+    return _flat(found.select("page_id", "batch_id", *_PLACE_COLUMNS))
+
+
+def stream_progress(spark, sf_dir):
+    """What is observed in each of ten batches, as the listener hands it on."""
+    counts = []
+    pages = fixtures.place_pages(spark, sf_dir)
+    _run_batches(spark, pages, "stream-progress", on_progress=counts.append)
+    schema = "batch_id long, processed long, quarantined long, found long"
+    return spark.createDataFrame(counts, schema)
+
+
+def stream_totals(spark, sf_dir):
+    """The totals of a store, and whether they tell when the last lead came."""
+    store = _run_stream(spark, fixtures.place_pages(spark, sf_dir), "stream-totals")
+    totals = streaming.stream_totals(spark, store)
+    return totals.select("total_found", F.col("last_updated").isNotNull().alias("updated"))
+
+
+def stream_quarantine(spark, sf_dir):
+    store = _run_stream(spark, fixtures.place_pages(spark, sf_dir), "stream-quarantine")
+    return streaming.read_quarantine(spark, store).select("page_id", "url", "reason")
+
+
+def stream_branches(spark, sf_dir):
+    """Places that agree in name and address only count as one."""
+    pages = fixtures.place_pages(spark, sf_dir)
+    store = _run_stream(spark, pages, "stream-branches", keys=("name", "address"))
+    return _flat(streaming.read_stream_leads(spark, store).select("page_id", *_PLACE_COLUMNS))
+
+
 def stream_append(spark, sf_dir):
     emails = enrich.lookup_emails(fixtures.lookup_pages(spark, sf_dir))
     pages = fixtures.place_pages(spark, sf_dir)
@@ -504,6 +556,11 @@ ALL = {
         stream_dedup,
         stream_resume,
         stream_hooks,
+        stream_batches,
+        stream_progress,
+        stream_totals,
+        stream_quarantine,
+        stream_branches,
         stream_append,
         category_dim,
         location_parse,

@@ -33,30 +33,45 @@ def is_lead() -> Column:
     return ~F.col("has_website") & F.col("name").isNotNull() & F.col("is_active")
 
 
-def with_name_key(places: DataFrame) -> DataFrame:
-    return places.withColumn("name_key", F.lower("name"))
-
-
-def dedup_by_name(places: DataFrame, order: list[str], run: list[str] | None = None) -> DataFrame:
+def with_name_key(places: DataFrame, keys: tuple[str, ...] = ("name",)) -> DataFrame:
+    """Adds ``name_key``, which places that count as one have in common: the lower-case name,
+    or the lower-case texts of several columns. It is null without a name."""
+    texts = [F.lower(F.coalesce(F.col(k).cast("string"), F.lit(""))) for k in keys if k != "name"]
+    # Lengths keep the texts apart.
+    more = [F.concat(F.lit("\n"), F.char_length(t).cast("string"), F.lit(" "), t) for t in texts]
+    return places.withColumn("name_key", F.concat(F.lower("name"), *more) if more else F.lower("name"))
+
+
+def dedup_by_name(
+    places: DataFrame,
+    order: list[str],
+    run: list[str] | None = None,
+    keys: tuple[str, ...] = ("name",),
+) -> DataFrame:
     """First place of every lower-case name, per run. Comes before ``leads_only``: a
     first sighting with a website hides later places of the same name."""
-    return first_wins(with_name_key(places), [*(run or []), "name_key"], order)
+    return first_wins(with_name_key(places, keys), [*(run or []), "name_key"], order)
 
 
-def slim(places: DataFrame, kept: list[str]) -> DataFrame:
+def slim(places: DataFrame, kept: list[str], keys: tuple[str, ...] = ("name",)) -> DataFrame:
     """The ``kept`` columns, the name key, and all other fields in the struct ``lead``,
     which is null if the place cannot be a lead. Such a place still hides later places
     of its name, but its key and position are enough for that; the rest need not be
     shuffled."""
     fields = [F.col(c) for c in places.columns if c not in kept]
     lead = F.when(is_lead(), F.struct(*fields)).alias("lead")
-    return with_name_key(places).select(*kept, "name_key", lead)
+    return with_name_key(places, keys).select(*kept, "name_key", lead)
 
 
-def first_sightings(places: DataFrame, order: list[str], run: list[str] | None = None) -> DataFrame:
+def first_sightings(
+    places: DataFrame,
+    order: list[str],
+    run: list[str] | None = None,
+    keys: tuple[str, ...] = ("name",),
+) -> DataFrame:
     """``dedup_by_name`` on ``slim`` places."""
     run = run or []
-    return first_wins(slim(places, [*order, *run]), [*run, "name_key"], order)
+    return first_wins(slim(places, [*order, *run], keys), [*run, "name_key"], order)
 
 
 def place_key(place_id: Column, name: Column) -> Column:

@@ -19,13 +19,16 @@ def find_leads(
     order: list[str] | None = None,
     run: list[str] | None = None,
     lookup_options: dict | None = None,
+    keys: tuple[str, ...] = ("name",),
     **extract_options,
 ) -> DataFrame:
     """Leads of one search whose place pages were captured in ``order``; with ``run``,
-    of one search per value of these columns."""
+    of one search per value of these columns. Places are the same if they agree in ``keys``,
+    without regard to case: ``("name", "address")`` keeps the branches of a chain apart."""
     order, run = order or ["page_id"], run or []
-    places = place_records(readable_pages(pages), for_leads=True, **extract_options)
-    first = first_sightings(places, order, run).where("lead is not null")
+    only_names = keys == ("name",)
+    places = place_records(readable_pages(pages), for_leads=only_names, **extract_options)
+    first = first_sightings(places, order, run, keys).where("lead is not null")
     leads = first.select(*order, *run, "lead.*").select(*places.columns)
     return _with_emails(leads, lookup_pages, lookup_options)
 
@@ -69,9 +72,11 @@ def find_leads_by_plan(
     mark: str = PLACE_LINK_MARK,
     host: str = SITE_HOST,
     lookup_options: dict | None = None,
+    keys: tuple[str, ...] = ("name",),
     **extract_options,
 ) -> DataFrame:
     """Leads of a subdivided search: every location of the plan is a run of its own.
+    ``keys`` as in ``find_leads``.
 
     A place page is joined to the links that led to it after it was reduced to its
     record, one per URL, or to its name if it cannot be a lead. On the other side a URL
@@ -85,8 +90,8 @@ def find_leads_by_plan(
     captured = pages.select("page_id", "url", "html")
     target = captured.withColumn("url", url.absolute_url(F.col("url"), host))
     addressed = readable_pages(target).withColumn("page_url", F.col("url"))
-    records = place_records(addressed, for_leads=True, **extract_options)
-    by_url = first_wins(slim(records, ["page_url", "page_id"]), ["page_url"], ["page_id"])
+    records = place_records(addressed, for_leads=keys == ("name",), **extract_options)
+    by_url = first_wins(slim(records, ["page_url", "page_id"], keys), ["page_url"], ["page_id"])
     linked = sightings.withColumn("_key", F.concat(F.lit("url "), F.col("url"))).drop("url")
     reached = by_url.withColumn("_key", F.concat(F.lit("url "), F.col("page_url"))).drop("page_url")
     visited = linked.join(reached, "_key").drop("_key")

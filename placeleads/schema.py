@@ -57,14 +57,28 @@ DOCUMENT = T.StructType(
     ]
 )
 
-# What the lead stream writes: first sightings, leads and rejected ones alike.
-SIGHTING = T.StructType(
+# What the lead stream writes: first sightings, leads and rejected ones, and quarantined pages.
+STREAM_ROW = T.StructType(
     [T.StructField("page_id", T.LongType()), T.StructField("name_key", T.StringType())]
     + PLACE.fields
     + [
+        T.StructField("url", T.StringType()),
+        T.StructField("reason", T.StringType()),
         T.StructField("seen_at", T.TimestampType()),
         T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
-        T.StructField("is_lead", T.BooleanType()),
+        T.StructField("kind", T.StringType()),
+    ]
+)
+
+# What a store of results holds: places and one row about each run.
+STORE_PLACE = T.StructType([*PLACE.fields, T.StructField("run_id", T.LongType())])
+STORE_RUN = T.StructType(
+    [
+        T.StructField("scraped_at", T.TimestampType()),
+        T.StructField("query", T.StringType()),
+        T.StructField("location", T.StringType()),
+        T.StructField("total_found", T.LongType()),
+        T.StructField("run_id", T.LongType()),
     ]
 )

@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeleads.operators.merge import new_only
 from placeleads.operators.report import results_envelope
-from placeleads.schema import DOCUMENT, DOCUMENT_NAMES, PLACE
+from placeleads.schema import DOCUMENT, DOCUMENT_NAMES, PLACE, STORE_PLACE, STORE_RUN
+from placeleads.sources.files import read_if_exists
+from placeleads.sources.published import PublishedTables
 
 _CORRUPT = "_corrupt"
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """A Parquet table, or an empty one if there is nothing at the path yet."""
-    try:
-        return spark.read.schema(schema).options(**options).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Result documents, one per file, with their ``path``, and with the text of those
     that are not valid JSON in ``_corrupt``. No document at the path gives no rows.
@@ -32,12 +23,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     files are read in parallel. Large results belong in the tables below.
     """
     schema = T.StructType([*DOCUMENT.fields, T.StructField(_CORRUPT, T.StringType())])
-    try:
-        files = spark.read.text(path, wholetext=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        files = spark.createDataFrame([], "value string")
+    files = read_if_exists(spark, path, "value string", "text", wholetext=True)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     document = F.from_json("value", schema, options).alias("document")
     return files.select(F.input_file_name().alias("path"), document).select("path", "document.*")
@@ -73,6 +59,11 @@ def read_places(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return places.withColumnsRenamed({v: k for k, v in DOCUMENT_NAMES.items()})
 
 
+def result_store(spark: SparkSession, store: str) -> PublishedTables:
+    """The places and the rows about runs of a store, committed run by run."""
+    return PublishedTables(spark, store, {"places": STORE_PLACE, "runs": STORE_RUN}, ["run_id"])
+
+
 def append_run(
     spark: SparkSession,
     new: DataFrame,
@@ -83,40 +74,27 @@ def append_run(
 ) -> DataFrame:
     """Adds the places of a run that earlier runs lack, and a row about the run.
 
-    Existing rows are never rewritten, so the cost follows the new run. A run owns its
-    directories: repeating it after a failure replaces what the first try left.
+    Existing rows are never rewritten, so the cost follows the new run. Places and row appear
+    at the same moment, when both are written; repeating a run replaces what it had.
     """
-    schema = T.StructType([*PLACE.fields, T.StructField("run_id", T.LongType())])
-    places_dir, runs_dir = f"{store}/places", f"{store}/runs"
-    earlier = read_if_exists(spark, places_dir, schema).where(F.col("run_id") != run_id)
-    columns = PLACE.fieldNames()
-    own = f"{places_dir}/run_id={run_id}"
-    new_only(new.select(*columns), earlier.select(*columns)).write.mode("overwrite").parquet(own)
-    written = spark.read.schema(PLACE).parquet(own)
-    envelope = results_envelope(written, query, location)
-    envelope.write.mode("overwrite").parquet(f"{runs_dir}/run_id={run_id}")
-    return written
+    tables, columns, own = result_store(spark, store), PLACE.fieldNames(), {"run_id": run_id}
+    earlier = tables.read_others("places", own).select(*columns)
+    added = new_only(new.select(*columns), earlier)
+    about = lambda written: results_envelope(written["places"], query, location)
+    tables.publish(own, {"places": added, "runs": about})
+    return tables.read_key("places", own).select(*columns)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
     """All places of a store, with the run that brought them."""
-    schema = T.StructType([*PLACE.fields, T.StructField("run_id", T.LongType())])
-    return read_if_exists(spark, f"{store}/places", schema)
+    return result_store(spark, store).read("places")
 
 
 def store_totals(spark: SparkSession, store: str) -> DataFrame:
     """One row per query and location: first and last run, and the places in store."""
-    schema = T.StructType(
-        [
-            T.StructField("scraped_at", T.TimestampType()),
-            T.StructField("query", T.StringType()),
-            T.StructField("location", T.StringType()),
-            T.StructField("total_found", T.LongType()),
-            T.StructField("run_id", T.LongType()),
-        ]
-    )
     return (
-        read_if_exists(spark, f"{store}/runs", schema)
+        result_store(spark, store)
+        .read("runs")
         .groupBy("query", "location")
         .agg(
             F.min("scraped_at").alias("scraped_at"),

@@ -17,3 +17,20 @@ def new_work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="placeleads-")
     return f"{shared.rstrip('/')}/placeleads/{purpose}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as that knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = file_system(spark, path)
+    return system.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with all that is in it."""
+    system, place = file_system(spark, path)
+    system.delete(place, True)
