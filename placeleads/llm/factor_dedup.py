@@ -32,14 +32,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeleads.llm.common import add_columns, cut_lineage, split_by_key
+from placeleads.llm.common import add_columns, cut_lineage, shards, split_by_key
 
 LENGTH = 50
 GRAM = 24
 FEW = 256  # first rows of a gram that are compared at once
+PART_BYTES = 1 << 20  # of text, of which segments are held at a time
 _CHUNK = 1 << 16
 _BASE = 0x5851F42D4C957F2D
 _MIX = 0x9E3779B97F4A7C15
@@ -118,12 +120,20 @@ class Minima:
         return np.concatenate(hashes)[starts].view(np.int64), places[starts], bounds
 
 
+def _parts(batches):
+    """Batches of texts, cut to about ``PART_BYTES``."""
+    for batch in batches:
+        sizes = [n or 0 for n in pc.binary_length(batch.column("text")).to_pylist()]
+        for start, stop in shards(sizes, PART_BYTES):
+            yield batch.slice(start, stop - start)
+
+
 def _values(texts: DataFrame, length: int) -> DataFrame:
     """``(value, row)`` for each distinct value of a document."""
 
     def run(batches):
         minima = Minima(length)
-        for batch in batches:
+        for batch in _parts(batches):
             found = [minima.values(t.as_py()) for t in batch.column("text")]
             rows = np.repeat(np.array(batch.column("row")), [len(f) for f in found])
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -167,7 +177,7 @@ def _segments(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         minima = Minima(length)
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for row, doc, text, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 values, grams, bounds = minima.segments(text)
@@ -410,8 +420,12 @@ def remove_repeats(
             "n_spans": pa.array([d[2] for d in done], pa.int64()),
         }
 
+    def weigh(batch: pa.RecordBatch) -> list[int]:
+        return [n or 0 for n in pc.binary_length(batch.column("text")).to_pylist()]
+
     added = "kept binary;n_removed bigint;n_spans bigint"
-    changed = add_columns(touched.join(ranges, ["row", "doc"], "left"), cut, added)
+    with_ranges = touched.join(ranges, ["row", "doc"], "left")
+    changed = add_columns(with_ranges, cut, added, weigh, PART_BYTES)
     none = F.lit(0).cast("long")
     same = whole.select(
         "*", F.coalesce("text", F.lit(b"")).alias("kept"), none.alias("n_removed"), none.alias("n_spans")
