@@ -93,6 +93,8 @@ def add_columns(
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c) for c in kept], *[new[n] for n in names]], [*kept, *names]
                 )
+        # Workers wait for further tasks, of other queries as well, without this memory.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

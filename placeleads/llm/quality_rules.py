@@ -178,8 +178,10 @@ def judge(df: DataFrame, text: str = "text", rules: Rules | None = None) -> Data
 def keep_good(df: DataFrame, text: str = "text", rules: Rules | None = None) -> DataFrame:
     """Only the documents that the rules keep, with their columns, and the cleaned text in
     place of the text."""
-    rest = [F.col(f"`{c}`") for c in df.columns]
-    judged = judge(df.select(F.struct(*rest).alias("own"), F.col(f"`{text}`").alias("text")), "text", rules)
+    # The other columns travel as one struct, beside the text.
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    own = F.struct(F.lit(0).alias("_"), *others).alias("own")
+    judged = judge(df.select(own, F.col(f"`{text}`").alias("text")), "text", rules)
     out = [
         F.col("clean_text").alias(c) if c == text else F.col("own").getField(c).alias(c)
         for c in df.columns

@@ -58,8 +58,7 @@ def op3_secret_scan(spark, sf_dir):
 
 
 def op4_sentencepiece(spark, sf_dir):
-    coded = sentencepiece_nbest.encode(_texts(spark, sf_dir))
-    done = sentencepiece_nbest.decode(coded)
+    done = sentencepiece_nbest.encode(_texts(spark, sf_dir), decoded=True)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),

@@ -367,12 +367,19 @@ ADDED = (
 )
 
 
-def encode(df: DataFrame, text: str = "text", model: str = MODEL, n: int = 4) -> DataFrame:
+def encode(
+    df: DataFrame, text: str = "text", model: str = MODEL, n: int = 4, decoded: bool = False
+) -> DataFrame:
     """The rows with ``ids`` and ``score`` of the best segmentation, and ``alternatives``, the
-    next best ones as changes of the best (``applied`` gives their pieces)."""
+    next best ones as changes of the best (``applied`` gives their pieces). With ``decoded``
+    also what ``decode`` gives for the ids, worked out in the same Python worker: a second
+    one per task would hold its memory as long."""
     # A Python worker keeps what was broadcast, and so the table, from task to task.
-    shared = df.sparkSession.sparkContext.broadcast(Lattice(read_vocabulary(model), n))
-    names = ("ids", "score", "alternatives")
+    vocabulary = read_vocabulary(model)
+    context = df.sparkSession.sparkContext
+    shared = context.broadcast(Lattice(vocabulary, n))
+    back = context.broadcast(Decoder(vocabulary)) if decoded else None
+    names = ("ids", "score", "alternatives", "decoded")[: 3 + decoded]
     column, rows = text, df
     if text.lower() in names:
         column = free_name(df, "text")
@@ -386,7 +393,8 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, n: int = 4) ->
         ids, bounds, scores, others = shared.value.encode(texts)
         at = pa.array(bounds, pa.int32())
         others = [None if t is None else o for t, o in zip(texts, others, strict=True)]
-        return {
+        more = {"decoded": _decoded(back.value, ids, bounds, none)} if decoded else {}
+        return more | {
             "ids": pa.ListArray.from_arrays(at, pa.array(ids, pa.int32()), mask=pa.array(none)),
             "score": pa.array(scores, pa.float64(), mask=none),
             "alternatives": pa.array(others, other),
@@ -395,7 +403,17 @@ def encode(df: DataFrame, text: str = "text", model: str = MODEL, n: int = 4) ->
     def weigh(batch: pa.RecordBatch) -> list[int]:
         return [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
 
-    return add_columns(rows, add, ADDED, weigh, SHARD_CHARS)
+    added = f"{ADDED};decoded string" if decoded else ADDED
+    return add_columns(rows, add, added, weigh, SHARD_CHARS)
+
+
+def _decoded(decoder: Decoder, ids: np.ndarray, bounds: np.ndarray, none: np.ndarray) -> pa.Array:
+    """The texts of rows of pieces; null where there is none."""
+    texts = [
+        None if skip else decoder.decode(ids[a:b].tolist())
+        for skip, a, b in zip(none.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+    ]
+    return pa.array(texts, pa.string())
 
 
 def applied(ids: list[int], edits: list[dict]) -> list[int]:

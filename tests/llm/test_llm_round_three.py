@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from placeleads.llm import fill_in_middle, fingerprints, hard_negatives
+from placeleads.llm import fill_in_middle, fingerprints, hard_negatives, sentencepiece_nbest
 from placeleads.llm.queries import LLM_QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -248,3 +248,17 @@ def test_large_components_are_multiplied_exactly():
     b = rng.integers(-(2**20), 2**20, (7, 20_000)).astype(np.float64)
     expected = [[sum(int(x) * int(y) for x, y in zip(p, q, strict=True)) for q in b] for p in a]
     assert hard_negatives._scores(a, b).tolist() == expected
+
+
+# Segmentation
+
+
+def test_pieces_are_turned_back_in_the_same_pass(spark):
+    texts = ["the cat, sat", None, "", "漢字 \x00 é", "word " * 5000]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, decoded string")
+    once = sentencepiece_nbest.encode(df, decoded=True)
+    twice = sentencepiece_nbest.decode(sentencepiece_nbest.encode(df))
+    assert once.columns == ["i", "text", "ids", "score", "alternatives", "decoded"]
+    key = ["i", "ids", "decoded"]
+    assert sorted(map(str, once.select(key).collect())) == sorted(map(str, twice.select(key).collect()))
+    assert {r["i"]: r["decoded"] for r in once.collect()} == dict(enumerate(texts))
