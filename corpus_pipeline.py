@@ -45,7 +45,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the text, its next best segmentations, and whether the pieces give it back."""
-    coded = sentencepiece_nbest.decode(sentencepiece_nbest.encode(docs))
+    coded = sentencepiece_nbest.encode(docs, decoded=True)
     return coded.select(
         "doc_id",
         "lang",
