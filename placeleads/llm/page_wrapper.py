@@ -454,10 +454,21 @@ def _aligned(joined: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, schema)
 
 
+def _each_once(trees: DataFrame) -> DataFrame:
+    """One row per key: equal rows of the table are one page, however many there are. Only
+    trees of repeated keys are shuffled."""
+    again = cut_lineage(
+        trees.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-pages"
+    )
+    return trees.join(again, "key", "left_anti").unionByName(
+        trees.join(again, "key", "left_semi").dropDuplicates(["key"])
+    )
+
+
 def template_places(pages: DataFrame) -> DataFrame:
     """``(key, template)``: per page the numbers of its template elements, for pages that
     have any. ``pages`` has ``key``, ``page``, ``host`` and ``html``."""
-    trees = cut_lineage(_trees(pages).drop("html"), "trees")
+    trees = cut_lineage(_each_once(cut_lineage(_trees(pages).drop("html"), "trees")), "single-trees")
     # The first page of a content per group; the smallest key of the layouts within.
     firsts = trees.groupBy("host", "content", "upper", "every").agg(F.min("key").alias("first_every"))
     same = Window.partitionBy("host", "content")
