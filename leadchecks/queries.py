@@ -21,6 +21,7 @@ from placeleads.streaming import leads as streaming
 # Parameters where a default would leave nothing to compare on the given tables.
 LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
+KEY_BUCKETS = 8
 STREAM_SLICES = 3
 STREAM_BATCHES = 10
 DOCUMENT_PAGES = 50
@@ -87,7 +88,7 @@ def results_store(spark, sf_dir):
     """Two runs appended to one store, the second one without known places."""
     store = new_work_dir(spark, "results-store")
     for run_id, places in enumerate((_places(spark, sf_dir), _second_places(spark, sf_dir))):
-        results.append_run(spark, places, store, run_id, "food & drink", "all")
+        results.append_run(spark, places, store, run_id, "food & drink", "all", KEY_BUCKETS)
     return _flat(results.read_store(spark, store))
 
 
@@ -95,7 +96,7 @@ def results_totals(spark, sf_dir):
     """Totals of a store after two runs, and whether the times of both are kept."""
     store = new_work_dir(spark, "results-totals")
     for run_id, places in enumerate((_places(spark, sf_dir), _second_places(spark, sf_dir))):
-        results.append_run(spark, places, store, run_id, "food & drink", "all")
+        results.append_run(spark, places, store, run_id, "food & drink", "all", KEY_BUCKETS)
     updated = F.col("last_updated") > F.col("scraped_at")
     return results.store_totals(spark, store).select(
         "query", "location", "total_found", updated.alias("updated")

@@ -60,6 +60,30 @@ def new_only(new: DataFrame, existing: DataFrame) -> DataFrame:
     return _anti(new, existing, {"id": _id_key(), "name": _name_key()})
 
 
+def merge_key() -> Column:
+    """What ``new_only`` compares, as one text: the id or else the name; null without both."""
+    return F.coalesce(*_tagged({"id": _id_key(), "name": _name_key()}))
+
+
+def new_only_by_key(new: DataFrame, known: DataFrame, buckets: int) -> DataFrame:
+    """``new_only`` against a table of keys, ``known(key)``, that lies in ``buckets`` by key.
+
+    The keys of the new rows, each once, are dealt in the same way and go to the buckets; the
+    table stays where it is. The few that are known are then taken from the new rows by a join
+    of freshly shuffled inputs, so a key that fills the new rows can be split. The new rows
+    are computed twice; write them to a table first if that is dear.
+    """
+    stand_in = F.concat(F.lit("none "), F.xxhash64(*new.columns).cast("string"))
+    keyed = new.withColumn("_key", F.coalesce(merge_key(), stand_in))
+    asked = new.select(merge_key().alias("key")).where("key is not null").distinct()
+    # An inner join, as Spark would move a semi join below the dealing. A key that the table
+    # has twice does no harm.
+    there = asked.repartition(buckets, "key").join(known.hint("merge"), "key")
+    there = there.select(F.concat(F.lit("is "), "key").alias("_is"))
+    keyed = keyed.withColumn("_is", F.concat(F.lit("is "), "_key"))
+    return keyed.join(there, "_is", "left_anti").drop("_key", "_is")
+
+
 def merge_results(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     """Existing rows and the new ones not among them; neither side is deduplicated."""
     if existing is None:

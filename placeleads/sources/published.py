@@ -52,10 +52,16 @@ class PublishedTables:
         fields = {f.name: f for f in next(iter(tables.values())).fields}
         self._log_schema = T.StructType(_ENTRY + [fields[k] for k in key])
 
-    def publish(self, values: dict, rows: dict[str, DataFrame | Callable]) -> str:
+    def publish(
+        self,
+        values: dict,
+        rows: dict[str, DataFrame | Callable],
+        before: Callable[[str, dict], None] | None = None,
+    ) -> str:
         """Commits the rows under a key, in place of what the key had before. The key columns
         are not among those of the rows. Tables are written in their order; a function
-        instead of rows is given what has been written, by table."""
+        instead of rows is given what has been written, by table. ``before`` is called with
+        the commit and the written tables before readers can see them."""
         replaced = [c["commit"] for c in self._commits_of(values)]
         commit, written = uuid.uuid4().hex, {}
         for table, df in rows.items():
@@ -63,6 +69,8 @@ class PublishedTables:
             df = df(written) if callable(df) else df
             df.write.partitionBy(*by).parquet(path)
             written[table] = self.spark.read.schema(df.schema).parquet(path)
+        if before is not None:
+            before(commit, written)
         self._log(commit, replaced, f"{self.store}/log/{self._path(values)}")
         return commit
 
@@ -86,6 +94,10 @@ class PublishedTables:
         merged = [{**e, **none} for e in self._entries(f"log-{_COMPACTED}", T.StructType(_ENTRY))]
         return _live(self._entries("log", self._log_schema) + merged)
 
+    def first_commits(self) -> list[dict]:
+        """The commits that count, as they were before any compaction."""
+        return _live(self._entries("log", self._log_schema))
+
     def compact(self) -> int:
         """Rewrites the commits as one, but for the newest of each stream or of all runs: only
         that one may be repeated. Returns how many are replaced. One compaction at a time;

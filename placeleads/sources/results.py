@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from placeleads.operators.merge import new_only
+from placeleads.operators.merge import merge_key, new_only_by_key
 from placeleads.operators.report import results_envelope
 from placeleads.schema import DOCUMENT, DOCUMENT_NAMES, PLACE, STORE_PLACE, STORE_RUN
 from placeleads.sources.files import read_if_exists
+from placeleads.sources.known_keys import KnownKeys
 from placeleads.sources.published import PublishedTables
+from placeleads.sources.workdir import delete, new_work_dir
 
 _CORRUPT = "_corrupt"
+KEY_BUCKETS = 64
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -71,17 +74,36 @@ def append_run(
     run_id: int,
     query: str,
     location: str,
+    buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
     """Adds the places of a run that earlier runs lack, and a row about the run.
 
-    Existing rows are never rewritten, so the cost follows the new run. Places and row appear
-    at the same moment, when both are written; repeating a run replaces what it had.
+    Existing rows are neither rewritten nor read: which keys are known is asked of a bucketed
+    table (``sources.known_keys``), and only the new run is shuffled. For a new store, choose
+    one of the ``buckets`` per 128 MB of keys. Places and row appear at the same moment,
+    when both are written; repeating a run replaces what it had.
     """
     tables, columns, own = result_store(spark, store), PLACE.fieldNames(), {"run_id": run_id}
-    earlier = tables.read_others("places", own).select(*columns)
-    added = new_only(new.select(*columns), earlier)
-    about = lambda written: results_envelope(written["places"], query, location)
-    tables.publish(own, {"places": added, "runs": about})
+    keys = KnownKeys(spark, store, buckets)
+    others = [c["commit"] for c in tables.first_commits() if c["run_id"] != run_id]
+    added, staged = new.select(*columns), new_work_dir(spark, "new-run")
+    if others:
+        # The places of a run are few bytes, but may have taken long to extract.
+        added.write.parquet(staged)
+        places = spark.read.schema(PLACE).parquet(staged)
+        added = new_only_by_key(places, keys.of(others), keys.buckets)
+
+    def envelope(written: dict) -> DataFrame:
+        return results_envelope(written["places"], query, location)
+
+    def remember(commit: str, written: dict) -> None:
+        found = written["places"].select(merge_key().alias("key")).where("key is not null")
+        keys.add(found, commit)
+
+    try:
+        tables.publish(own, {"places": added, "runs": envelope}, remember)
+    finally:
+        delete(spark, staged)
     return tables.read_key("places", own).select(*columns)
 
 

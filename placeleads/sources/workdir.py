@@ -34,3 +34,11 @@ def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder with all that is in it."""
     system, place = file_system(spark, path)
     system.delete(place, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
+    system, place = file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(place) if s.isDirectory()]

@@ -1,10 +1,14 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from placeleads.operators.merge import merge_results, new_only_by_key
 from placeleads.schema import PLACE
 from placeleads.sources import results
+from placeleads.sources.known_keys import KnownKeys
+from placeleads.sources.published import PublishedTables
 from placeleads.sources.workdir import new_work_dir
 
 DOCUMENT = {
@@ -100,6 +104,74 @@ def test_repeating_a_run_replaces_it(spark, tmp_path):
     assert results.store_totals(spark, store).first()["total_found"] == 1
 
 
+def random_places(rng, count):
+    names = [None, "", "Bar", "BAR", "Casa", "b", "c"]
+    return [place(rng.choice(names), rng.choice([None, "", "x", "y", "z", str(rng.randrange(30))])) for _ in range(count)]
+
+
+def test_runs_equal_merging_everything_each_time(spark, tmp_path):
+    rng, store, kept = random.Random(8), str(tmp_path / "store"), None
+    for run in range(5):
+        new = places(spark, *random_places(rng, 25), *[place("Hot", "hot")] * 40)
+        results.append_run(spark, new, store, run, "q", "l", 4)
+        kept = merge_results(kept, new)
+        found = results.read_store(spark, store).select(*PLACE.fieldNames())
+        assert sorted(map(str, found.collect())) == sorted(map(str, kept.collect()))
+    assert [p.name for p in (tmp_path / "store").glob("keys-*")] == ["keys-4"]
+    # Another session, which asks for another number of buckets, goes on with those there are.
+    spark.sql(f"drop table {KnownKeys(spark, store, 9).name}")
+    new = places(spark, place("Hot", "hot"), place("New", "n"))
+    assert [r["name"] for r in results.append_run(spark, new, store, 9, "q", "l", 9).collect()] == ["New"]
+
+
+def test_keys_of_failed_and_replaced_runs_do_not_count(spark, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+
+    def fail(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(PublishedTables, "_log", fail)
+        with pytest.raises(RuntimeError):
+            results.append_run(spark, places(spark, place("A", "a")), store, 0, "q", "l", 4)
+    assert results.read_store(spark, store).count() == 0
+    results.append_run(spark, places(spark, place("B", "b")), store, 0, "q", "l", 4)
+    results.append_run(spark, places(spark, place("C", "c")), store, 0, "q", "l", 4)
+    new = places(spark, place("A", "a"), place("B", "b"), place("C", "c"))
+    added = results.append_run(spark, new, store, 1, "q", "l", 4)
+    assert sorted(r["name"] for r in added.collect()) == ["A", "B"]
+    for run in (2, 3):
+        results.append_run(spark, places(spark, place("D", "d")), store, run, "q", "l", 4)
+    assert results.result_store(spark, store).compact() == 3
+    added = results.append_run(spark, places(spark, place("A", "a"), place("E", "e")), store, 4, "q", "l", 4)
+    assert [r["name"] for r in added.collect()] == ["E"]
+
+
+def test_known_keys_are_not_shuffled(spark, tmp_path, plan_of):
+    store = str(tmp_path / "store")
+    results.append_run(spark, places(spark, *random_places(random.Random(2), 50)), store, 0, "q", "l", 6)
+    keys = KnownKeys(spark, store, 6)
+    commits = [c["commit"] for c in results.result_store(spark, store).first_commits()]
+    new = places(spark, *random_places(random.Random(3), 50))
+    for shuffles in (2, 50):  # fewer and more than buckets
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            plan = plan_of(new_only_by_key(new, keys.of(commits), 6)).split("\n")
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 4)
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        scan = next(i for i, line in enumerate(plan) if "Bucketed: true" in line)
+        join = max(i for i, line in enumerate(plan[:scan]) if "SortMergeJoin" in line)
+        # What is between the scan and the join it feeds: lines less deep, read upwards.
+        depth, above = plan[scan].index("FileScan"), []
+        for line in reversed(plan[join + 1 : scan]):
+            own = len(line) - len(line.lstrip(" :+-*()0123456789"))
+            if own < depth:
+                depth, above = own, [*above, line]
+        assert above and not any("Exchange" in line for line in above)
+
+
 def test_work_dir_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     first, second = new_work_dir(spark, "t"), new_work_dir(spark, "t")
