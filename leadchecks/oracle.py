@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from leadchecks import fixtures
 from leadchecks.queries import (
+    BAD_SLICES,
     DOCUMENT_PAGES,
     DOCUMENT_PHRASES,
     DOMAIN_END,
+    FILE_SLICES,
     LANGUAGE,
     LINK_MARK,
     STREAM_BATCHES,
@@ -345,6 +347,28 @@ ORACLE = {
         "select 'food & drink' as query, 'all' as location, count(*) as total_found from leads",
         "leads",
     ),
+    "unreadable_files": "select page_id, null::bigint as slice, null::varchar as reason from pages "
+    f"where page_id % {FILE_SLICES} not in {BAD_SLICES} union all select null, s::bigint, "
+    f"'not a Parquet file, or cut off' from (select unnest({list(BAD_SLICES)}) as s)",
+    "failed_searches": _with(
+        "select location, query_seq, search_query, case when n is null then 'not captured' else "
+        "'missing html' end as reason from nation_plan left join (select search_query, count(*) as n, "
+        "count(*) filter (where page_id % 3 <> 0) as readable from result_pages "
+        "where page_id % 4 <> 0 group by search_query) using (search_query) "
+        "where coalesce(readable, 0) = 0",
+        "nation_plan",
+        "result_pages",
+    ),
+    "failed_lookups": _with(
+        "select lookup_query, leads, case when n is null then 'not captured' else 'missing html' end "
+        f"as reason from (select concat(name, ' ', {_CITY}, ' email') as lookup_query, "
+        "count(*) as leads from leads where len(emails) = 0 group by 1) left join "
+        "(select lookup_query, count(*) as n, count(*) filter (where lookup_id % 5 <> 0) as readable "
+        "from lookup_pages where lookup_id % 3 <> 0 group by 1) using (lookup_query) "
+        "where coalesce(readable, 0) = 0",
+        "leads",
+        "lookup_pages",
+    ),
     "stream_leads": _with(f"select page_id, {_PLACE} from leads", "leads"),
     "stream_resume": _with(f"select page_id, {_PLACE} from leads", "leads"),
     "stream_hooks": _with(

@@ -9,10 +9,11 @@ from leadchecks import fixtures
 from placeleads.constants import SELECTORS
 from placeleads.functions import contact, html, url
 from placeleads.functions.text import contains_any
-from placeleads.operators import dedup, enrich, extract, merge, report
+from placeleads.operators import dedup, enrich, extract, failures, merge, report
 from placeleads.plans import leads as pipelines
 from placeleads.plans import search
-from placeleads.schema import DOCUMENT_NAMES
+from placeleads.schema import DOCUMENT_NAMES, PAGE
+from placeleads.sources import files
 from placeleads.sources import pages as page_source
 from placeleads.sources import results
 from placeleads.sources.workdir import new_work_dir
@@ -23,6 +24,7 @@ LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
 KEY_BUCKETS = 8
 STREAM_SLICES = 3
+FILE_SLICES, BAD_SLICES = 7, (2, 5)
 STREAM_BATCHES = 10
 DOCUMENT_PAGES = 50
 
@@ -147,13 +149,13 @@ _PLACE_COLUMNS = ("name", "address", "phone", "emails", "has_website", "place_id
 def _run_stream(spark: SparkSession, pages: DataFrame, purpose: str, **options) -> str:
     """Lets slices of the pages arrive in the order of ``page_id``; each time the stream
     starts again from its checkpoint and takes what is new as one batch."""
-    files, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
+    folder, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     step = (high - low) // STREAM_SLICES + 1
     for start in range(low, high + 1, step):
         arrived = pages.where(F.col("page_id").between(start, start + step - 1))
-        arrived.select("page_id", "url", "html").write.mode("append").parquet(files)
-        stream = page_source.stream_pages(spark, files)
+        arrived.select("page_id", "url", "html").write.mode("append").parquet(folder)
+        stream = page_source.stream_pages(spark, folder)
         query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint", **options)
         streaming.await_lead_stream(query)
     return store
@@ -176,9 +178,9 @@ def stream_resume(spark, sf_dir):
     store = new_work_dir(spark, "stream-resume")
     middle = F.lit(pages.agg(F.avg("page_id")).first()[0])
     for turn, arrived in enumerate((pages.where(F.col("page_id") < middle), pages)):
-        files = new_work_dir(spark, "stream-resume-files")
-        arrived.write.parquet(files)
-        stream = page_source.stream_pages(spark, files)
+        folder = new_work_dir(spark, "stream-resume-files")
+        arrived.write.parquet(folder)
+        stream = page_source.stream_pages(spark, folder)
         query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint-{turn}")
         streaming.await_lead_stream(query)
     return _flat(streaming.read_stream_leads(spark, store).select("page_id", *_PLACE_COLUMNS))
@@ -201,13 +203,13 @@ def stream_hooks(spark, sf_dir):
 
 def _run_batches(spark: SparkSession, pages: DataFrame, purpose: str, **options) -> tuple:
     """All slices in one run of the stream, ``STREAM_BATCHES`` batches of a file each."""
-    files, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
+    folder, store = new_work_dir(spark, f"{purpose}-files"), new_work_dir(spark, purpose)
     low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
     step = (high - low) // STREAM_BATCHES + 1
     for start in range(low, high + 1, step):
         arrived = pages.where(F.col("page_id").between(start, start + step - 1))
-        arrived.select("page_id", "url", "html").coalesce(1).write.mode("append").parquet(files)
-    stream = page_source.stream_pages(spark, files, max_files=1)
+        arrived.select("page_id", "url", "html").coalesce(1).write.mode("append").parquet(folder)
+    stream = page_source.stream_pages(spark, folder, max_files=1)
     query = streaming.start_lead_stream(stream, store, f"{store}/checkpoint", **options)
     streaming.await_lead_stream(query)
     return store, query
@@ -256,6 +258,37 @@ def stream_append(spark, sf_dir):
     return report.contact_summary(streaming.read_stream_leads(spark, store))
 
 
+def unreadable_files(spark, sf_dir):
+    """Pages in ``FILE_SLICES`` folders, two of which hold something else than Parquet: the pages that
+    are read all the same, and the folders of the files that are not, with the reason."""
+    path = new_work_dir(spark, "unreadable-files")
+    pages = _pages(spark, sf_dir)
+    for number in range(FILE_SLICES):
+        own = pages.where(F.col("page_id") % FILE_SLICES == number).coalesce(1)
+        if number in BAD_SLICES:
+            own.select("html").write.text(f"{path}/slice-{number}")
+        else:
+            own.write.parquet(f"{path}/slice-{number}")
+    read = page_source.read_pages(spark, f"{path}/slice-*", intact=True).select("page_id")
+    bad = files.unreadable_files(spark, f"{path}/slice-*", PAGE)
+    number = F.regexp_extract("path", r"slice-(\d+)", 1).cast("long").alias("slice")
+    return read.unionByName(bad.select(number, "reason"), allowMissingColumns=True)
+
+
+def failed_searches(spark, sf_dir):
+    """Searches without a captured result page, or with none that has HTML."""
+    pages = fixtures.result_pages(spark, sf_dir).where("page_id % 4 <> 0")
+    partly = pages.withColumn("html", F.when(F.col("page_id") % 3 != 0, F.col("html")))
+    return failures.failed_searches(_nation_plan(spark, sf_dir), partly)
+
+
+def failed_lookups(spark, sf_dir):
+    pages = fixtures.lookup_pages(spark, sf_dir).where("lookup_id % 3 <> 0")
+    partly = pages.withColumn("html", F.when(F.col("lookup_id") % 5 != 0, F.col("html")))
+    found = pipelines.find_leads(fixtures.place_pages(spark, sf_dir))
+    return failures.failed_lookups(found, partly)
+
+
 # Search plans
 
 
@@ -553,6 +586,9 @@ ALL = {
         results_totals,
         results_documents,
         results_envelope,
+        unreadable_files,
+        failed_searches,
+        failed_lookups,
         stream_leads,
         stream_dedup,
         stream_resume,
