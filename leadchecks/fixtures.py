@@ -129,6 +129,24 @@ def result_pages_sql() -> str:
     )
 
 
+def feed_pages_sql() -> str:
+    """page_id, html: a result list in one of four containers, with an item, something that looks
+    like one, and end tags left out."""
+    open_tag = (
+        "case c_custkey % 4 when 0 then '<div role=\"feed\">' "
+        "when 1 then '<div class=\"wide section-layout\">' "
+        "when 2 then '<div aria-label=\"All Results here\">' "
+        "else '<div id=pane><span><div role=\"region\">' end"
+    )
+    n = "cast(c_custkey as string)"
+    return (
+        f"select c_custkey as page_id, concat('<p title=\"<div role=feed>\">Head', {open_tag}, "
+        f"'<div><div jsaction=\"go\"><a href=\"/maps/place/', {n}, '\">Place ', {n}, '</a><p>First ', {n}, "
+        f"'<p>Second ', {n}, '<ul><li>a', {n}, '<li>b', {n}, '</ul></div></div><div><span>"
+        "<div jsaction=\"go\">no item</div></span></div></div><i>Foot</i>') as html from {customer}"
+    )
+
+
 def locations_sql() -> str:
     """s_suppkey, location: a town per supplier, with or without country and continent."""
     return (
@@ -166,5 +184,9 @@ def lookup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, lookup_pages_sql())
 
 
+def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(feed_pages_sql(), customer=table(spark, sf_dir, "customer"))
+
+
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, result_pages_sql())

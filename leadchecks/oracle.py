@@ -422,6 +422,11 @@ ORACLE = {
         f"{_stripped(_PANEL)} as panel from place_pages",
         "place_pages",
     ),
+    "selector_pick": "select c_custkey as page_id, concat('Place ', n, 'First ', n, 'Second ', n, 'a', n, "
+    "'b', n, 'no item') as container, case when c_custkey % 4 = 0 then concat('Place ', n, 'First ', n, "
+    "'Second ', n, 'a', n, 'b', n) else '' end as items, concat('/maps/place/', n) as link, "
+    "concat('First ', n, '|Second ', n) as paragraphs, concat('a', n, '|b', n) as points, "
+    "c_custkey % 4 = 3 as in_pane from (select c_custkey, c_custkey::varchar as n from customer)",
     "place_name": f"select page_id, {_PAGE_NAME} as name from pages",
     "place_id": _with(
         "select page_id, case when not contains(url, '%ZZ') then "

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadchecks import fixtures
-from placeleads.constants import SELECTORS
-from placeleads.functions import contact, html, url
+from placeleads.constants import RESULT_SELECTORS, SELECTORS
+from placeleads.functions import contact, html, select, url
 from placeleads.functions.text import contains_any
 from placeleads.operators import dedup, enrich, extract, failures, merge, report
 from placeleads.plans import leads as pipelines
@@ -362,6 +362,26 @@ def element_pick(spark, sf_dir):
     )
 
 
+def selector_pick(spark, sf_dir):
+    """Result lists by selectors with steps: the first container present, items that are
+    grandchildren of a feed, links, and elements whose end tags are left out."""
+    markup = F.col("markup")
+
+    def texts(selector: str) -> Column:
+        return F.array_join(F.transform(select.elements(markup, selector), lambda e: e["text"]), "|")
+
+    link = select.first_element(markup, RESULT_SELECTORS["link"])["tag"]
+    return _markup(fixtures.feed_pages(spark, sf_dir)).select(
+        "page_id",
+        html.element_text(markup, RESULT_SELECTORS["container"]).alias("container"),
+        texts(RESULT_SELECTORS["item"][0]).alias("items"),
+        select.attribute(link, "href").alias("link"),
+        texts("div[jsaction] > p").alias("paragraphs"),
+        texts("ul > li").alias("points"),
+        html.has_element(markup, ("#pane > span > div",)).alias("in_pane"),
+    )
+
+
 def place_name(spark, sf_dir):
     name = html.trimmed_element_text(F.col("markup"), SELECTORS["name"])
     return _markup(_pages(spark, sf_dir)).select("page_id", name.alias("name"))
@@ -609,6 +629,7 @@ ALL = {
         search_text,
         text_content,
         element_pick,
+        selector_pick,
         place_name,
         place_id,
         is_active,

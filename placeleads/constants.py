@@ -128,3 +128,16 @@ SELECTORS = {
     ),
     "panel": (Selector(None, "role", "main"),),
 }
+
+# The list of results of a search, of which the first present one is used, its items
+# and its links, as selectors with steps.
+RESULT_SELECTORS = {
+    "container": (
+        'div[role="feed"]',
+        'div[aria-label*="Results"]',
+        "div.section-layout",
+        '#pane div[role="region"]',
+    ),
+    "item": ('div[role="feed"] > div > div[jsaction]',),
+    "link": ('a[href*="/maps/place/"]',),
+}

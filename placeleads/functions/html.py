@@ -23,6 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from placeleads.constants import PLACE_LINK_MARK, Selector
+from placeleads.functions import select
 from placeleads.functions.text import bind, contains_any, if_not_empty, web_trim
 
 # Elements whose content a browser takes as raw text, and one whose content it keeps
@@ -183,9 +184,15 @@ def _if_mentioned(markup: Column, selector: Selector, use: Column) -> Column:
     return F.when(F.contains(markup, F.lit(selector.value)), use)
 
 
-def has_element(markup: Column, selectors: tuple[Selector, ...]) -> Column:
+def has_element(markup: Column, selectors: tuple[Selector | str, ...]) -> Column:
     """True if any selector finds an element."""
-    found = (_if_mentioned(markup, s, F.rlike(markup, F.lit(_open_tag(s)))) for s in selectors)
+
+    def has(s: Selector | str) -> Column:
+        if isinstance(s, str):
+            return F.size(select.elements(markup, s)) > 0
+        return _if_mentioned(markup, s, F.rlike(markup, F.lit(_open_tag(s))))
+
+    found = map(has, selectors)
     return reduce(or_, (F.coalesce(f, F.lit(False)) for f in found))
 
 
@@ -224,8 +231,11 @@ def _element_by_depth(markup: Column, selector: Selector) -> Column:
     return if_not_empty(_if_mentioned(markup, selector, rest), cut)
 
 
-def _element(markup: Column, selector: Selector) -> Column:
-    """The first element a selector finds, with its tags; null if there is none."""
+def _element(markup: Column, selector: Selector | str) -> Column:
+    """The first element a selector finds, with its tags; null if there is none. A text is a
+    selector with steps (``functions.select``)."""
+    if isinstance(selector, str):
+        return F.get(select.elements(markup, selector), F.lit(0))["inner"]
     if selector.tag is None:
         return _element_by_depth(markup, selector)
     # Elements picked by tag name do not nest: the next tag of the kind ends them.
@@ -235,7 +245,7 @@ def _element(markup: Column, selector: Selector) -> Column:
     return if_not_empty(_if_mentioned(markup, selector, element))
 
 
-def element_text(markup: Column, selectors: tuple[Selector, ...]) -> Column:
+def element_text(markup: Column, selectors: tuple[Selector | str, ...]) -> Column:
     """Text content of the element found by the first selector that finds one; null
     if none does."""
     return unmask(strip_tags(F.coalesce(*(_element(markup, s) for s in selectors))))
