@@ -134,6 +134,14 @@ def results_documents(spark, sf_dir):
     return places.unionByName(bad, allowMissingColumns=True)
 
 
+def document_split(spark, sf_dir):
+    """The leads as one indented document, read back by records."""
+    path = new_work_dir(spark, "document-split")
+    leads = _leads_of_places(spark, sf_dir)
+    results.write_document(leads, path, "food & drink", "all", ["page_id"])
+    return _flat(results.read_document_places(spark, path).select(*_PLACE_COLUMNS))
+
+
 def _document_number(page_id: str) -> Column:
     return F.floor(F.col(page_id) / DOCUMENT_PAGES).cast("long")
 
@@ -605,6 +613,7 @@ ALL = {
         results_store,
         results_totals,
         results_documents,
+        document_split,
         results_envelope,
         unreadable_files,
         failed_searches,

@@ -104,6 +104,49 @@ def test_repeating_a_run_replaces_it(spark, tmp_path):
     assert results.store_totals(spark, store).first()["total_found"] == 1
 
 
+def test_a_document_is_written_as_before_and_split_by_records(spark, tmp_path):
+    odd = 'a "b"\n    }\n    {\n c, \\ é 漢 \u2028 </x>'
+    rows = [place(odd, "x", "1", ["a@b.es", odd]), place(None), place("", "", None, [])]
+    rows += [place(f"P{i}", str(i), None, ["m@n.es"] * (i % 3)) for i in range(400)]
+    numbered = [(i, *r) for i, r in enumerate(rows)]
+    schema = "seq long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PLACE.fields)
+    df = spark.createDataFrame(numbered, schema).repartition(5)
+    path = tmp_path / "document"
+    results.write_document(df, str(path), 'cafés & "bars"', "all", ["seq"])
+    (file,) = path.glob("part-*")
+    text = file.read_text()
+    document = json.loads(text)
+    assert document["query"] == 'cafés & "bars"' and document["totalFound"] == len(rows)
+    assert [p["name"] for p in document["results"]] == [r[0] for r in rows]
+    assert text.rstrip("\n") == json.dumps(document, indent=2, ensure_ascii=False)
+    # The old reader and the new one agree; the new one splits the file.
+    old = results.places_of_documents(results.read_documents(spark, str(path)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+    try:
+        new = results.read_document_places(spark, str(path))
+        parts = new.rdd.getNumPartitions()
+        got = sorted(map(str, new.select(*PLACE.fieldNames()).collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts > 4
+    assert got == sorted(map(str, old.select(*PLACE.fieldNames()).collect()))
+    assert new.where("_corrupt is not null").count() == 0
+
+
+def test_empty_and_damaged_documents_by_records(spark, tmp_path):
+    empty = places(spark).withColumn("seq", F.lit(1))
+    results.write_document(empty, str(tmp_path / "empty"), "q", "l", ["seq"])
+    (file,) = (tmp_path / "empty").glob("part-*")
+    assert json.loads(file.read_text())["results"] == []
+    assert results.read_document_places(spark, str(tmp_path / "empty")).count() == 0
+    assert results.read_document_places(spark, str(tmp_path / "none")).count() == 0
+    whole = json.dumps({"query": "q", "results": [{"name": "A"}, {"name": "B"}]}, indent=2)
+    (tmp_path / "bad.json").write_text(whole.replace('"name": "A"', '"name": "A'))
+    found = results.read_document_places(spark, str(tmp_path / "bad.json")).collect()
+    assert sorted((r["name"], r["_corrupt"] is None) for r in found if r["name"]) == [("B", True)]
+    assert sum(r["_corrupt"] is not None for r in found) == 1
+
+
 def random_places(rng, count):
     names = [None, "", "Bar", "BAR", "Casa", "b", "c"]
     return [place(rng.choice(names), rng.choice([None, "", "x", "y", "z", str(rng.randrange(30))])) for _ in range(count)]
