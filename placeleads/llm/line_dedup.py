@@ -13,10 +13,12 @@ with the smallest hash is selected as a fingerprint (winnowing), so any run of a
 4. delete a line if a window over it occurred earlier, in a document with a smaller id or
    further up in the same one. Windows of fewer than ``min_chars`` characters do not count.
 
-With ``passage_words``, shorter passages count as well: every run of fewer than ``window``
-lines with at least so many words, and every text of fewer lines that has ``min_chars``
-characters, is a fingerprint of its own, with no selection. Without it (the default) such
-passages stay, as a single repeated line does.
+Only texts that lose a line are shuffled; the others stay where they are scanned.
+
+Shorter passages count as well: every run of fewer than ``window`` lines with at least
+``passage_words`` words (between ASCII white space), and every text of fewer lines that has
+``min_chars`` characters, is a fingerprint of its own, with no selection. With None for
+``passage_words`` such passages stay, as a single repeated line does.
 
 Positions are compared with the first position of their window only, so a window that a third
 of all documents share costs one row per document, never a pair.
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeleads.llm.common import add_columns, cut_lineage, map_batches, shards
+from placeleads.llm.common import add_columns, cut_lineage, map_batches, shards, split_by_key
 
 WINDOW = 3
 MIN_CHARS = 60
@@ -75,16 +77,18 @@ def passages(text: str | None, window: int, min_chars: int, passage_words: int):
     A run of lines that all count alone is left out: if it occurred earlier, so did they."""
     lines = [line for _, line in numbered_lines(text)]
     raw = [line.encode("utf-8", "surrogatepass") for line in lines]
-    words = [len(line.split()) for line in lines]
+    words = np.array([len(r.split()) for r in raw], np.int64)
     for size in range(1, min(window - 1, len(lines)) + 1):
-        for start in range(len(lines) - size + 1):
-            own = slice(start, start + size)
-            whole = size == len(lines) and sum(map(len, lines)) >= min_chars
-            alone = size > 1 and min(words[own]) >= passage_words
-            if (whole or sum(words[own]) >= passage_words) and not alone:
-                x = xxhash.xxh3_128_digest(b"\n".join(raw[own]))
-                h = int.from_bytes(x[:8], "big", signed=True)
-                yield h, [{"start": start, "size": size, "x": x}]
+        views = np.lib.stride_tricks.sliding_window_view(words, size)
+        counts = views.sum(axis=1) >= passage_words
+        if size == len(lines) and sum(map(len, lines)) >= min_chars:
+            counts[0] = True
+        if size > 1:
+            counts &= views.min(axis=1) < passage_words
+        for start in np.flatnonzero(counts).tolist():
+            x = xxhash.xxh3_128_digest(b"\n".join(raw[start : start + size]))
+            h = int.from_bytes(x[:8], "big", signed=True)
+            yield h, [{"start": start, "size": size, "x": x}]
 
 
 def repeated_windows(
@@ -93,7 +97,7 @@ def repeated_windows(
     doc_id: str,
     window: int,
     min_chars: int,
-    passage_words: int | None = None,
+    passage_words: int | None = PASSAGE_WORDS,
 ) -> DataFrame:
     """Windows that occurred earlier: ``(doc, version, starts)`` per document, each with the
     number of its first line and its number of lines."""
@@ -167,21 +171,28 @@ def dedup_lines(
     doc_id: str = "doc_id",
     window: int = WINDOW,
     min_chars: int = MIN_CHARS,
-    passage_words: int | None = None,
+    passage_words: int | None = PASSAGE_WORDS,
 ) -> DataFrame:
     """The rows with ``clean_text``, ``removed_lines`` and ``removed_runs``."""
     added = "clean_text string;removed_lines bigint;removed_runs bigint"
-    names = ("clean_text", "removed_lines", "removed_runs", "doc", "version", "starts")
+    names = ("clean_text", "removed_lines", "removed_runs")
     own = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("own")
+    doc, version = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(f"`{text}`")
     rows = df.select(
         own,
         F.col(f"`{text}`").alias("text"),
-        F.col(f"`{doc_id}`").cast("long").alias("doc"),
-        F.xxhash64(f"`{text}`").alias("version"),
+        doc.alias("doc"),
+        version.alias("version"),
+        F.xxhash64(doc, version).alias("key"),
     )
-    marked = rows.join(
-        repeated_windows(df, text, doc_id, window, min_chars, passage_words), ["doc", "version"], "left"
-    ).select("own", "text", "starts")
+    found = cut_lineage(
+        repeated_windows(df, text, doc_id, window, min_chars, passage_words).withColumn(
+            "key", F.xxhash64("doc", "version")
+        ),
+        "line-repeats",
+    )
+    touched, whole = split_by_key(rows, "key", found)
+    marked = touched.join(found.drop("key"), ["doc", "version"], "left").select("own", "text", "starts")
 
     def clean(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         both = zip(
@@ -194,8 +205,12 @@ def dedup_lines(
             "removed_runs": pa.array([d[2] for d in done], pa.int64()),
         }
 
-    kept = [F.col(f"own.`{c}`").alias(c) for c in df.columns if c.lower() not in names[:3]]
-    return add_columns(marked, clean, added).select(*kept, *names[:3])
+    kept = [F.col(f"own.`{c}`").alias(c) for c in df.columns if c.lower() not in names]
+    none = F.lit(0).cast("long")
+    same = whole.select(
+        *kept, F.col("text").alias(names[0]), none.alias(names[1]), none.alias(names[2])
+    )
+    return add_columns(marked, clean, added).select(*kept, *names).unionByName(same)
 
 
 def drop_repeated_lines(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -16,15 +16,25 @@ WITH lines AS (
   SELECT doc_id, n, trim(raw, {_TRIM}) AS line,
          row_number() OVER (PARTITION BY doc_id ORDER BY n) AS k
   FROM lines WHERE trim(raw, {_TRIM}) <> ''
+), around AS (
+  SELECT doc_id, k, line, lead(line, 1) OVER d AS second, lead(line, 2) OVER d AS third,
+         words, lead(words, 1) OVER d AS more, count(*) OVER (PARTITION BY doc_id) AS total
+  FROM (SELECT *, len(regexp_extract_all(line, '{_WORD}')) AS words FROM numbered)
+  WINDOW d AS (PARTITION BY doc_id ORDER BY k)
 ), windows AS (
-  SELECT doc_id, k, line || chr(10) || lead(line, 1) OVER d || chr(10) || lead(line, 2) OVER d AS x
-  FROM numbered WINDOW d AS (PARTITION BY doc_id ORDER BY k)
+  SELECT doc_id, k, 3 AS size, line || chr(10) || second || chr(10) || third AS x FROM around
+  WHERE third IS NOT NULL AND length(line) + length(second) + length(third) >= 60
+  UNION ALL
+  SELECT doc_id, k, 2, line || chr(10) || second FROM around
+  WHERE words + more >= 20 OR (total = 2 AND length(line) + length(second) >= 60)
+  UNION ALL
+  SELECT doc_id, k, 1, line FROM around WHERE words >= 20 OR (total = 1 AND length(line) >= 60)
 ), ranked AS (
-  SELECT doc_id, k, row_number() OVER (PARTITION BY x ORDER BY doc_id, k) AS place
-  FROM windows WHERE x IS NOT NULL AND length(x) >= 62
+  SELECT doc_id, k, size, row_number() OVER (PARTITION BY size, x ORDER BY doc_id, k) AS place
+  FROM windows
 ), gone AS (
   SELECT DISTINCT n.doc_id, n.n, n.k FROM ranked r JOIN numbered n
-  ON n.doc_id = r.doc_id AND n.k BETWEEN r.k AND r.k + 2 WHERE r.place > 1
+  ON n.doc_id = r.doc_id AND n.k BETWEEN r.k AND r.k + r.size - 1 WHERE r.place > 1
 ), runs AS (
   SELECT doc_id, count(*) AS removed, count(*) FILTER (before IS NULL OR before < k - 1) AS runs
   FROM (SELECT *, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM gone) GROUP BY doc_id
@@ -321,6 +331,7 @@ FROM inside WHERE rank <= 10
 
 LLM_ORACLE = {
     "op5_line_dedup": OP5,
+    "op5_passage_dedup": OP5,
     "op6_decontamination": OP6,
     "op7_ngram_join": OP7,
     "op8_pii": OP8,

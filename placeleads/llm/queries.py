@@ -79,7 +79,7 @@ def op5_line_dedup(spark, sf_dir):
 
 
 def op5_passage_dedup(spark, sf_dir):
-    """As ``op5_line_dedup``, and passages of fewer lines than a window go as well."""
+    """As ``op5_line_dedup``, whose default is this length of passages as well."""
     done = line_dedup.dedup_lines(_texts(spark, sf_dir), passage_words=line_dedup.PASSAGE_WORDS)
     return done.select(
         "doc_id",

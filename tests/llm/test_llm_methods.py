@@ -304,6 +304,23 @@ def test_copies_of_one_and_two_lines_go(spark):
     want = {i: (text, 0, 0) for i, text in rows}
     want |= {2: ("other\nend", 1, 1), 3: ("", 1, 1), 5: ("", 2, 1)}
     assert got == want
+    assert sorted(line_dedup.dedup_lines(df).collect()) == sorted(done)
+    long = line_dedup.dedup_lines(df, passage_words=None).collect()
+    assert {r["removed_lines"] for r in long} == {0}
+    left = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(df).collect()}
+    assert left == {i: want[i][0] for i, _ in rows if i not in (3, 5)}
+
+
+def test_a_passage_in_one_line_goes_from_every_later_document(spark):
+    """A third of the documents hold one line of 55 words, some of them twice."""
+    line = " ".join(f"word{i}" for i in range(55))
+    rows = [
+        (i, f"own {i}\n{line}\nend {i}" + (f"\n{line}" if i % 2 else "") if i % 3 == 0 else f"text {i}")
+        for i in range(1, 301)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["removed_lines"] for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i: 0 if i % 3 else (1 + i % 2) - (i == 3) for i, _ in rows}
 
 
 def test_passages_against_plain_loops(spark):

@@ -115,12 +115,15 @@ def test_pipeline_equals_plain_loops(spark):
     for doc in sorted(texts):
         lines = line_dedup.numbered_lines(texts[doc])
         gone = set()
-        for k in range(len(lines) - 2):
-            window = tuple(line for _, line in lines[k : k + 3])
-            if sum(map(len, window)) >= line_dedup.MIN_CHARS:
-                if window in seen:
-                    gone |= {lines[j][0] for j in (k, k + 1, k + 2)}
-                seen.add(window)
+        for size in (1, 2, 3):
+            for k in range(len(lines) - size + 1):
+                run = lines[k : k + size]
+                whole = size in (3, len(lines)) and sum(len(t) for _, t in run) >= line_dedup.MIN_CHARS
+                short = size < 3 and sum(len(t.encode().split()) for _, t in run) >= line_dedup.PASSAGE_WORDS
+                if whole or short:
+                    passage = tuple(t for _, t in run)
+                    gone |= {i for i, _ in run} if passage in seen else set()
+                    seen.add(passage)
         if len(gone) < len(lines):
             cut[doc] = "\n".join(x for i, x in enumerate(texts[doc].split("\n")) if i not in gone)
 
