@@ -201,7 +201,13 @@ WITH docs AS (
          count(*) FILTER (regexp_matches(line, '{_WORD}'))
            - count(DISTINCT line) FILTER (regexp_matches(line, '{_WORD}')) AS n_dup_lines,
          sum(CASE WHEN len(regexp_extract_all(line, '[#*$%&<>!]')) * 100 > 20 * chars
-                    OR len(regexp_extract_all(line, '\\|')) >= 3 OR {_PHRASES}
+                    OR len(regexp_extract_all(line, '[#*$%&<>!]([\\x20\\x09-\\x0D]|$)')) * 100
+                       > 50 * len(regexp_extract_all(line, '{_WORD}'))
+                    OR (len(regexp_extract_all(line, '[|>»›·•]')) >= 3
+                        AND len(list_filter(string_split_regex(line, '[|>»›·•]'),
+                              lambda i: len(regexp_extract_all(i, '{_WORD}')) <= 4)) * 100
+                            >= 80 * (len(regexp_extract_all(line, '[|>»›·•]')) + 1))
+                    OR {_PHRASES}
                   THEN 0 ELSE chars END) AS left_over
   FROM (SELECT *, length(regexp_replace(line, '{_SPACE}', '', 'g')) AS chars FROM lines) GROUP BY doc_id
 ), counted AS (

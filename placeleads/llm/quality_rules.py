@@ -2,10 +2,11 @@
 
 Each line of a text is judged on its own by three rules:
 
-* punctuation: too many characters of the line are symbols or exclamation marks; with
-  ``max_mark_ends`` also if too many of its words end in one;
-* navigation: the line has ``min_bars`` of ``|``; with ``max_item_words`` instead as many of
-  ``|``, ``>``, ``»`` or dots in the middle, and no item between them is longer;
+* punctuation: too many characters of the line are symbols or exclamation marks, or too many
+  of its words end in one (``max_mark_ends``);
+* navigation: the line has ``min_bars`` separators (``|``, ``>``, ``»``, dots in the middle),
+  and ``short_items`` percent of the items between them have ``max_item_words`` words at
+  most. With None for the latter, ``min_bars`` of ``|`` are enough, whatever is between them;
 * boilerplate: the line holds one of the fixed phrases of licences, cookie notices, and
   the like.
 
@@ -52,6 +53,7 @@ BOILERPLATE = (
 SYMBOLS = "[#*$%&|<>]"
 MARKS = "[#*$%&<>!]"
 SEPARATORS = "[|>»›·•]"
+SPECIAL = "[#*$%&<>!|»›·•]"  # marks and separators
 
 
 @dataclass(frozen=True)
@@ -64,8 +66,9 @@ class Rules:
     max_marks: int = 20
     min_bars: int = 3
     max_lost: int = 50
-    max_mark_ends: int | None = None  # percent of a line's words; none: not evaluated
-    max_item_words: int | None = None  # of an item in a bar; none: bars are counted only
+    max_mark_ends: int | None = 50  # percent of a line's words; none: not evaluated
+    max_item_words: int | None = 4  # of an item in a bar; none: only "|" are counted
+    short_items: int = 80  # percent of the items of a bar that have so few words
 
 
 def _repeated_words(words: Column, window: int) -> Column:
@@ -111,11 +114,14 @@ def _line_fails(line: Column, rules: Rules) -> Column:
     """True if a rule removes the line. Quick tests come first."""
     chars = F.char_length(F.regexp_replace(line, r"[\x20\x09-\x0D]+", ""))
     marks = F.regexp_count(line, F.lit(MARKS))
-    bars = F.regexp_count(line, F.lit(r"\|"))
-    bar = F.contains(line, F.lit("|")) & (bars >= rules.min_bars)
+    bar = F.regexp_count(line, F.lit(r"\|")) >= rules.min_bars
     if rules.max_item_words is not None:
         items = F.transform(F.split(line, SEPARATORS), lambda i: F.regexp_count(i, F.lit(WORD)))
-        short = F.forall(items, lambda n: n <= rules.max_item_words)
+        short = bind(
+            items,
+            lambda ns: F.size(F.filter(ns, lambda n: n <= rules.max_item_words)) * 100
+            >= F.size(ns) * rules.short_items,
+        )
         bar = (F.regexp_count(line, F.lit(SEPARATORS)) >= rules.min_bars) & short
     ends = F.lit(False)
     if rules.max_mark_ends is not None:
@@ -125,12 +131,8 @@ def _line_fails(line: Column, rules: Rules) -> Column:
     phrase = F.lit(False)
     for part in BOILERPLATE:
         phrase = phrase | F.contains(low, F.lit(part))
-    return (
-        (F.rlike(line, F.lit(MARKS)) & (marks * 100 > chars * rules.max_marks))
-        | bar
-        | phrase
-        | ends
-    )
+    special = F.rlike(line, F.lit(SPECIAL))
+    return phrase | (special & ((marks * 100 > chars * rules.max_marks) | bar | ends))
 
 
 def judge(df: DataFrame, text: str = "text", rules: Rules | None = None) -> DataFrame:
