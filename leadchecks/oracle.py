@@ -320,6 +320,7 @@ _BATCH = (
 ORACLE = {
     "page_scan": "select page_id, url, md5(html) as html_md5 from pages",
     "search_result_scan": _with("select * from result_links", "result_links"),
+    "searched_page_scan": _with("select * from result_links", "result_links"),
     "results_sink": _with(f"select {_PLACE} from leads", "leads"),
     "document_split": _with(f"select {_PLACE} from leads", "leads"),
     "results_scan": _with(f"select {_PLACE} from leads", "leads"),

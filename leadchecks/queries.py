@@ -15,7 +15,7 @@ from placeleads.plans import search
 from placeleads.schema import DOCUMENT_NAMES, PAGE
 from placeleads.sources import files
 from placeleads.sources import pages as page_source
-from placeleads.sources import results
+from placeleads.sources import results, searched
 from placeleads.sources.workdir import new_work_dir
 from placeleads.streaming import leads as streaming
 
@@ -23,6 +23,7 @@ from placeleads.streaming import leads as streaming
 LINK_MARK = "/"
 DOCUMENT_PHRASES = ("license", "copyright", "@", "password")
 KEY_BUCKETS = 8
+SEARCH_PARTS = 16
 STREAM_SLICES = 3
 FILE_SLICES, BAD_SLICES = 7, (2, 5)
 STREAM_BATCHES = 10
@@ -73,6 +74,13 @@ def search_result_scan(spark, sf_dir):
     return pipelines.searched_links(fixtures.result_pages(spark, sf_dir), plan)
 
 
+def searched_page_scan(spark, sf_dir):
+    """As ``search_result_scan``, from pages laid out by their search."""
+    plan, path = _nation_plan(spark, sf_dir), new_work_dir(spark, "searched-pages")
+    searched.write_result_pages(fixtures.result_pages(spark, sf_dir), path, SEARCH_PARTS)
+    return pipelines.searched_links(searched.read_searched_pages(spark, path, plan), plan)
+
+
 def results_sink(spark, sf_dir):
     path = new_work_dir(spark, "results-sink")
     results.write_places(_leads_of_places(spark, sf_dir).select(*_PLACE_COLUMNS), path)
@@ -608,6 +616,7 @@ ALL = {
     for f in (
         page_scan,
         search_result_scan,
+        searched_page_scan,
         results_sink,
         results_scan,
         results_store,
