@@ -278,17 +278,18 @@ def unreadable_files(spark, sf_dir):
     """Pages in ``FILE_SLICES`` folders, two of which hold something else than Parquet: the pages that
     are read all the same, and the folders of the files that are not, with the reason."""
     path = new_work_dir(spark, "unreadable-files")
-    pages = _pages(spark, sf_dir)
-    for number in range(FILE_SLICES):
-        own = pages.where(F.col("page_id") % FILE_SLICES == number).coalesce(1)
-        if number in BAD_SLICES:
-            own.select("html").write.text(f"{path}/slice-{number}")
-        else:
-            own.write.parquet(f"{path}/slice-{number}")
-    read = page_source.read_pages(spark, f"{path}/slice-*", intact=True).select("page_id")
-    bad = files.unreadable_files(spark, f"{path}/slice-*", PAGE)
-    number = F.regexp_extract("path", r"slice-(\d+)", 1).cast("long").alias("slice")
-    return read.unionByName(bad.select(number, "reason"), allowMissingColumns=True)
+    pages = _pages(spark, sf_dir).withColumn("slice", F.col("page_id") % FILE_SLICES)
+    pages = pages.where(F.col("slice") >= 0)
+    is_bad = F.col("slice").isin(*BAD_SLICES)
+    # Each task that scans pages writes its own file to a folder.
+    pages.where(~is_bad).write.partitionBy("slice").parquet(path)
+    bad_pages = pages.where(is_bad).select("slice", "html")
+    bad_pages.write.mode("append").partitionBy("slice").text(path)
+    read = page_source.read_pages(spark, path, intact=True).select("page_id")
+    bad = files.unreadable_files(spark, path, PAGE)
+    number = F.regexp_extract("path", r"slice=(\d+)", 1).cast("long").alias("slice")
+    bad_folders = bad.select(number, "reason").distinct()
+    return read.unionByName(bad_folders, allowMissingColumns=True)
 
 
 def failed_searches(spark, sf_dir):

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadchecks import fixtures, queries
+from placeleads.sources import files
 
 ROWS, AT_MOST = 25_000, 10_000
 
@@ -59,3 +60,23 @@ def test_slices_of_branches_arrive_from_many_tasks(spark, folder, tmp_path, monk
     slices, files = arrived_files(spark, folder, tmp_path, monkeypatch, "stream_branches")
     assert slices == [("name", "address")] * queries.STREAM_SLICES
     assert sum(files) == ROWS and max(files) <= AT_MOST / queries.STREAM_SLICES * 1.1
+
+
+def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
+    """Pages in several files, each large enough for a scan task of its own."""
+    spark.range(0, 4200, 1, 3).selectExpr(
+        "id as page_id", "concat('u', id) as url", "if(id % 11 = 0, null, concat('h', id)) as html"
+    ).write.parquet(f"{tmp_path}/pages.parquet")
+    monkeypatch.setattr(queries, "new_work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    spark.conf.set("spark.sql.files.openCostInBytes", "256m")
+    try:
+        found = queries.unreadable_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    bad = sorted((r["slice"], r["reason"]) for r in found if r["slice"] is not None)
+    assert bad == [(n, files.NOT_PARQUET) for n in queries.BAD_SLICES]
+    kept = sorted(r["page_id"] for r in found if r["slice"] is None)
+    assert kept == [n for n in range(4200) if n % queries.FILE_SLICES not in queries.BAD_SLICES]
+    for number in range(queries.FILE_SLICES):
+        written = list((tmp_path / "unreadable-files").glob(f"slice?{number}/part-*"))
+        assert len(written) == 3
