@@ -42,18 +42,25 @@ def test_few_customers_are_not_shuffled(spark, folder, plan_of, tmp_path):
 
 def arrived_files(spark, folder, tmp_path, monkeypatch, query):
     """Rows by file that a query lets arrive for its streams; the streams are not run."""
-    monkeypatch.setattr(queries, "new_work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
-    monkeypatch.setattr(queries.streaming, "await_lead_stream", lambda query: None)
-    slices = []
+    made, started = [], []
+
+    def new_work_dir(spark, purpose):
+        made.append(f"{tmp_path}/{len(made)}-{purpose}")
+        return made[-1]
 
-    def read(pages, *args, **options):
-        slices.append(options.get("keys"))
+    def start(pages, *args, on_result=None, **options):
+        started.append(options.get("keys"))
+        if on_result:
+            on_result(spark.createDataFrame([], "page_id long"), len(started))
 
-    monkeypatch.setattr(queries.streaming, "start_lead_stream", read)
+    monkeypatch.setattr(queries, "new_work_dir", new_work_dir)
+    monkeypatch.setattr(queries.streaming, "await_lead_stream", lambda query: None)
+    monkeypatch.setattr(queries.streaming, "start_lead_stream", start)
     queries.ALL[query](spark, folder)
-    pages = spark.read.schema("page_id long").parquet(f"{tmp_path}/{query.replace('_', '-')}-files")
+    paths = [p for p in made if p.endswith("-files")]
+    pages = spark.read.schema("page_id long").parquet(*paths)
     files = [r["count"] for r in pages.groupBy(F.input_file_name()).count().collect()]
-    return slices, files
+    return started, files
 
 
 def test_slices_of_branches_arrive_from_many_tasks(spark, folder, tmp_path, monkeypatch):
@@ -62,6 +69,20 @@ def test_slices_of_branches_arrive_from_many_tasks(spark, folder, tmp_path, monk
     assert sum(files) == ROWS and max(files) <= AT_MOST / queries.STREAM_SLICES * 1.1
 
 
+def rows_given(spark, folder, tmp_path, monkeypatch, query):
+    """Rows by task of the two runs that a query adds to a store; nothing is stored."""
+    runs = []
+    monkeypatch.setattr(queries, "new_work_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(queries.results, "append_run", lambda spark, new, *_: runs.append(rows_by_task(new)))
+    queries.ALL[query](spark, folder)
+    return runs
+
+
+def test_runs_for_totals_come_from_many_tasks(spark, folder, tmp_path, monkeypatch):
+    runs = rows_given(spark, folder, tmp_path, monkeypatch, "results_totals")
+    assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in runs] == [True, True]
+
+
 def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
     """Pages in several files, each large enough for a scan task of its own."""
     spark.range(0, 4200, 1, 3).selectExpr(
