@@ -83,6 +83,11 @@ def test_runs_for_totals_come_from_many_tasks(spark, folder, tmp_path, monkeypat
     assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in runs] == [True, True]
 
 
+def test_runs_for_a_store_come_from_many_tasks(spark, folder, tmp_path, monkeypatch):
+    runs = rows_given(spark, folder, tmp_path, monkeypatch, "results_store")
+    assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in runs] == [True, True]
+
+
 def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
     """Pages in several files, each large enough for a scan task of its own."""
     spark.range(0, 4200, 1, 3).selectExpr(
