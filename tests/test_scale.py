@@ -88,6 +88,18 @@ def test_runs_for_a_store_come_from_many_tasks(spark, folder, tmp_path, monkeypa
     assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in runs] == [True, True]
 
 
+def test_both_sides_of_a_merge_come_from_many_tasks(spark, folder, monkeypatch):
+    sides = []
+
+    def merged(existing, new):
+        sides.extend((rows_by_task(existing), rows_by_task(new)))
+        return existing.unionByName(new)
+
+    monkeypatch.setattr(queries.merge, "merge_results", merged)
+    queries.merge_results(spark, folder)
+    assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in sides] == [True, True]
+
+
 def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
     """Pages in several files, each large enough for a scan task of its own."""
     spark.range(0, 4200, 1, 3).selectExpr(
