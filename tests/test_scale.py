@@ -100,6 +100,11 @@ def test_both_sides_of_a_merge_come_from_many_tasks(spark, folder, monkeypatch):
     assert [sum(r) > 2 * AT_MOST > 2 * max(r) for r in sides] == [True, True]
 
 
+def test_slices_for_hooks_arrive_from_many_tasks(spark, folder, tmp_path, monkeypatch):
+    _, files = arrived_files(spark, folder, tmp_path, monkeypatch, "stream_hooks")
+    assert sum(files) == ROWS and max(files) <= AT_MOST / queries.STREAM_SLICES * 1.1
+
+
 def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
     """Pages in several files, each large enough for a scan task of its own."""
     spark.range(0, 4200, 1, 3).selectExpr(
