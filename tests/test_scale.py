@@ -105,6 +105,12 @@ def test_slices_for_hooks_arrive_from_many_tasks(spark, folder, tmp_path, monkey
     assert sum(files) == ROWS and max(files) <= AT_MOST / queries.STREAM_SLICES * 1.1
 
 
+def test_pages_to_resume_with_arrive_from_many_tasks(spark, folder, tmp_path, monkeypatch):
+    started, files = arrived_files(spark, folder, tmp_path, monkeypatch, "stream_resume")
+    # Half of the pages, then all.
+    assert len(started) == 2 and sum(files) == ROWS // 2 + ROWS and max(files) <= AT_MOST
+
+
 def test_no_task_reads_pages_of_several_files_for_a_folder(spark, tmp_path, monkeypatch):
     """Pages in several files, each large enough for a scan task of its own."""
     spark.range(0, 4200, 1, 3).selectExpr(
